@@ -155,4 +155,4 @@ def with_views(sql: str, extra: dict[str, str], keyed: dict[str, str]) -> str:
     heads = {name: keyed[name] if name in keyed else name for name in used}
     recursive = "recursive " if any(name in keyed for name in used) else ""
     ctes = ",\n".join(f"{heads[name]} as ({known[name]})" for name in used)
-    return f"with {recursive}{ctes}\n{sql}" if used else sql
+    return f"with {recursive}{ctes}\nselect * from ({sql})" if used else sql

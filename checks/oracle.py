@@ -299,7 +299,7 @@ def _quantiles() -> str:
 
 
 RANKED = ", ".join(
-    c if c in ("segment", "segment_name") else f"round({c}, 2) as {c}" for c in segments.RANKING_COLUMNS
+    c if c in ("segment", "segment_name") else f"round({c}, 2) + 0.0 as {c}" for c in segments.RANKING_COLUMNS
 )
 
 SQL = {

@@ -263,7 +263,7 @@ def cl6_timestamps(spark, folder):
     mixed = df.withColumn(c, F.when(F.col("order_id").cast("long") % 3 == 0, F.replace(c, F.lit("-"), F.lit("/"))).otherwise(F.col(c)))
     typed = clean.fix_types({"orders": mixed})["orders"]
     return typed.select(
-        "order_id", F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias("purchased"),
+        F.col("order_id").cast("long").alias("order_id"), F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias("purchased"),
         F.date_format("order_delivered_customer_date", "yyyy-MM-dd HH:mm:ss").alias("delivered"),
     )
 
@@ -273,7 +273,7 @@ def cl7_numbers(spark, folder):
     df = _as_text(_tables(spark, folder, "order_items")["order_items"])
     mixed = df.withColumn("price", F.when(F.col("order_id").cast("long") % 3 == 0, F.concat(F.lit("R$ "), "price")).otherwise(F.col("price")))
     typed = clean.fix_types({"order_items": mixed})["order_items"]
-    return typed.select("order_id", "order_item_id", "price", "freight_value")
+    return typed.select(F.col("order_id").cast("long").alias("order_id"), "order_item_id", "price", "freight_value")
 
 
 @query

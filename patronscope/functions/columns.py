@@ -73,12 +73,12 @@ def fixed_decimal_text(c: Column) -> Column:
         .when(tie & (error < 0), F.floor(scaled).cast("double"))
         .otherwise(F.rint(scaled))
     )
-    return F.format_string("%.1f", rounded / 10)
+    return F.when(c.isNotNull(), F.format_string("%.1f", rounded / 10))
 
 
 def whole_text(c: Column) -> Column:
     """Text without decimals, ties to even."""
-    return F.format_string("%.0f", F.rint(c))
+    return F.when(c.isNotNull(), F.format_string("%.0f", F.rint(c)))
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

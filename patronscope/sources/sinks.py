@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> str:
     writer = df.write.mode("overwrite")
     if fmt == "csv":
-        writer = writer.option("header", True).option("escape", '"')
+        # the writer would trim text by default
+        writer = writer.options(
+            header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        )
     writer.format(fmt).save(path)
     return path
 
