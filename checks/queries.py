@@ -146,8 +146,7 @@ def io9_insight_text(spark, folder):
 def io10_model_bundle(spark, folder):
     table = _written_features(spark, folder)
     scaling = prep.fit_scaling(table)
-    vectors = prep.with_vector(scaling.transform(table)).persist()
-    model, _ = cluster.fit_kmeans(vectors, [5], restarts=2)[5]
+    model = cluster.fit_kmeans(scaling.transform(table), 5)
     path = cluster.save_model(scaling, model, scratch_path(spark, "model"))
     return cluster.score(cluster.load_model(spark, path), table)
 
@@ -519,7 +518,7 @@ QUERIES["ch17_preferred_categories"] = _feature_chart(charts.top_preferred_categ
 
 @query
 def ch18_k_curve(spark, folder):
-    return cluster.choose_k(_scaled(spark, folder), restarts=2).curve
+    return cluster.choose_k(_scaled(spark, folder)).curve
 
 
 @query
@@ -615,16 +614,14 @@ def ml4_choose_k(spark, folder):
 @query
 def ml5_kmeans(spark, folder):
     scaled = _scaled(spark, folder)
-    vectors = prep.with_vector(scaled).persist()
-    model, _ = cluster.fit_kmeans(vectors, [5])[5]
-    return model.transform(vectors).select(WHO, "label")
+    return scaled.select(WHO, cluster.fit_kmeans(scaled, 5).label().alias("label"))
 
 
 @query
 def ml6_k_override(spark, folder):
     """K from the curve when none is given, else the given one."""
     scaled = _scaled(spark, folder)
-    chosen = cluster.choose_k(scaled, restarts=2).k
+    chosen = cluster.choose_k(scaled).k
     rows = [F.struct(F.lit("chosen").alias("way"), F.lit(chosen).alias("k")),
             F.struct(F.lit("default").alias("way"), F.lit(cluster.DEFAULT_K).alias("k"))]
     return scaled.agg(F.count(F.lit(1)).alias("customers")).select("customers", F.inline(F.array(*rows)))
@@ -637,12 +634,14 @@ def ml7_dbscan(spark, folder):
 
 @query
 def ml8_hierarchical(spark, folder):
-    return cluster.fit_models(_scaled(spark, folder), restarts=1).labeled["hierarchical"].select(WHO, "label")
+    scaled = _scaled(spark, folder)
+    tree = cluster.fit_tree(cluster.packed(scaled))
+    return tree.transform(prep.with_vector(scaled)).select(WHO, F.col("label").cast("int").alias("label"))
 
 
 @query
 def ml9_three_models(spark, folder):
-    models = cluster.fit_models(_scaled(spark, folder), restarts=2)
+    models = cluster.fit_models(_scaled(spark, folder))
     return fx.union_all([df.select(F.lit(n).alias("model"), WHO, "label") for n, df in models.labeled.items()])
 
 
@@ -710,5 +709,5 @@ def pr6_insights(spark, folder):
 @query
 def pl1_pipeline(spark, folder):
     """The whole run; named segments of the K-means clustering."""
-    result = pipeline.run(_tables(spark, folder), eda=False, feature_views=False, restarts=2)
+    result = pipeline.run(_tables(spark, folder), eda=False, feature_views=False)
     return result.profile.select("segment", "customers", "segment_name", "pct_of_customers", "pct_of_revenue")

@@ -50,8 +50,8 @@ class Scaling:
             {f"z_{c}": self.scaled(c) for c in MODEL_FEATURES}
         )
 
-    def stages(self) -> list:
-        """The same transformation as pipeline stages, so that it is saved with a model."""
+    def stage(self) -> SQLTransformer:
+        """The scaled columns as a pipeline stage, so that they are saved with a model."""
         parts = []
         for c in MODEL_FEATURES:
             raw = c
@@ -64,7 +64,7 @@ class Scaling:
                 f"(coalesce(CAST({raw} AS DOUBLE), {fill!r}D) - ({self.means[c]!r}D)) / {self.deviations[c]!r}D AS z_{c}"
             )
         statement = f"SELECT *, {', '.join(parts)} FROM __THIS__"
-        return [SQLTransformer(statement=statement), assembler()]
+        return SQLTransformer(statement=statement)
 
 
 def assembler() -> VectorAssembler:
