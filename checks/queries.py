@@ -59,7 +59,7 @@ def _rule_labeled(df: DataFrame, name: str) -> DataFrame:
 
 
 def _profile(spark, folder):
-    return segments.profile_segments(_rule_labeled(_written_features(spark, folder), "segment"))
+    return settle(segments.profile_segments(_rule_labeled(_written_features(spark, folder), "segment")))
 
 
 # --- sources and sinks ------------------------------------------------------------------
@@ -636,7 +636,7 @@ def ml7_dbscan(spark, folder):
 def ml8_hierarchical(spark, folder):
     scaled = _scaled(spark, folder)
     tree = cluster.fit_tree(cluster.packed(scaled))
-    return tree.transform(prep.with_vector(scaled)).select(WHO, F.col("label").cast("int").alias("label"))
+    return cluster.tree_labels(tree, scaled).select(WHO, F.col("label").cast("int").alias("label"))
 
 
 @query

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from patronscope.operators import audit, charts, cluster, evaluate, features, prep, segments
 from patronscope.operators.clean import clean_tables
 from patronscope.operators.inspect import column_list
-from patronscope.session import scratch_path
+from patronscope.session import scratch_path, settle
 from patronscope.sources import sinks
 from patronscope.sources.catalog import Tables, load_csv_tables
 
@@ -84,8 +84,9 @@ def run(
     models = cluster.fit_models(scaled, k, restarts)
     evaluation = evaluate.evaluate_all(models.labeled)
 
-    assigned = segments.assign_segments(table, models.labeled["kmeans"])
-    named = segments.name_segments(segments.profile_segments(assigned))
+    assigned = settle(segments.assign_segments(table, models.labeled["kmeans"]))
+    profile = settle(segments.profile_segments(assigned))  # one row per segment
+    named = segments.name_segments(profile)
     if out:
         cluster.save_model(scaling, models.kmeans, f"{out}/models/segments")
         evaluation = saved(evaluation, f"{out}/metrics/clustering_model_comparison")
