@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from itertools import combinations_with_replacement
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from patronscope.functions.columns import clip, floor_days, union_all
@@ -204,23 +204,30 @@ def eda_tables(tables: Tables) -> dict[str, DataFrame]:
 # --- tables over the customer features --------------------------------------------------
 
 
-def _correlation(x: str, y: str) -> Column:
-    # corr() raises on a constant column in ANSI mode, so the parts are divided here
-    both = F.col(x).isNotNull() & F.col(y).isNotNull()
-    a, b = (F.when(both, F.col(c).cast("double")) for c in (x, y))
-    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
-
-
 def correlations(features: DataFrame, columns: list[str] = NUMERIC_FEATURES) -> DataFrame:
-    """(feature_x, feature_y, r) over rows where both are known; null for a constant."""
-    pairs = list(combinations_with_replacement(columns, 2))
-    row = features.agg(*[_correlation(x, y).alias(f"r{i}") for i, (x, y) in enumerate(pairs)])
-    entries = [
-        F.struct(F.lit(x).alias("feature_x"), F.lit(y).alias("feature_y"), F.col(f"r{i}").alias("r"))
-        for i, (a, b) in enumerate(pairs)
-        for x, y in dict.fromkeys([(a, b), (b, a)])
-    ]
-    return row.select(F.inline(F.array(*entries)))
+    """(feature_x, feature_y, r) over rows where both are known; null for a constant.
+
+    Each row is spread to its pairs, which are summed up at once on the map side. One
+    aggregate with hundreds of functions is too large for generated code and took ten
+    times as long.
+    """
+    places = list(combinations_with_replacement(range(len(columns)), 2))
+    names = F.array(*[F.lit(c) for c in columns])
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in places])
+    values = F.array(*[F.col(c).cast("double") for c in columns])
+    spread = features.select(values.alias("v"), F.explode(pairs).alias("p")).select(
+        "p.i", "p.j", F.get("v", F.col("p.i")).alias("a"), F.get("v", F.col("p.j")).alias("b")
+    )
+    a, b = F.when(F.col("b").isNotNull(), F.col("a")), F.when(F.col("a").isNotNull(), F.col("b"))
+    # corr() raises on a constant column in ANSI mode, so the parts are divided here
+    r = F.try_divide(F.covar_pop("a", "b"), F.stddev_pop(a) * F.stddev_pop(b))
+    found = spread.groupBy("i", "j").agg(r.alias("r"))
+    both_ways = F.when(F.col("i") == F.col("j"), F.array(F.struct("i", "j"))).otherwise(
+        F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j")))
+    )
+    return found.select(F.explode(both_ways).alias("p"), "r").select(
+        F.get(names, F.col("p.i")).alias("feature_x"), F.get(names, F.col("p.j")).alias("feature_y"), "r"
+    )
 
 
 def monetary_histogram(features: DataFrame) -> DataFrame:
