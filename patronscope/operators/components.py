@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 from patronscope.session import settle
 
 
-DIRECT_EDGES = 10_000
-
-
 def smallest_linked(pairs) -> dict:
     """Smallest item connected to each item of the pairs."""
     root: dict = {}
@@ -26,19 +23,15 @@ def smallest_linked(pairs) -> dict:
     return {i: find(i) for i in list(root)}
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 50, direct_edges: int = DIRECT_EDGES) -> DataFrame:
+def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b); component = smallest node.
 
-    Up to ``direct_edges`` distinct edges are solved on the driver. Beyond that: alternating large-star and small-star steps (Kiveris et al., 2014): each step takes
-    the smallest neighbor per node, a partial aggregate, and rewires the edges to it.
-    The result of every round is written to shared storage.
+    Alternating large-star and small-star steps (Kiveris et al., 2014): each step takes the smallest
+    neighbor per node, a partial aggregate, and rewires the edges to it. The result of every
+    round is written to shared storage.
     """
     ordered = F.struct(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high"))
     current = settle(edges.where("a <> b").select(ordered.alias("e")).select("e.*").distinct())
-    if current.count() <= direct_edges:
-        found = smallest_linked((r["low"], r["high"]) for r in current.collect())
-        kind = current.schema["low"].dataType.simpleString()
-        return edges.sparkSession.createDataFrame(list(found.items()), f"node {kind}, component {kind}")
     before = None
     for _ in range(max_rounds):
         current = settle(_small_star(_large_star(current)))

@@ -50,7 +50,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into shared storage and drop its lineage."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def settle(df: DataFrame, name: str = "settled") -> DataFrame:
+    """``df`` written once as Parquet in the shared folder and read back; its lineage ends there."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
