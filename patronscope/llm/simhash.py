@@ -148,7 +148,8 @@ def simhash_groups(
     linked = reps.join(found, "fp")
     heads = linked.groupBy("component").agg(F.min("head").alias("lead"))
     led = linked.join(heads, "component").select("fp", "lead")
-    final = reps.join(led, "fp", "left").select("fp", F.coalesce("lead", "head").alias("lead"))
+    # written, so that adaptive execution can split a hot fingerprint in the last join
+    final = settle(reps.join(led, "fp", "left").select("fp", F.coalesce("lead", "head").alias("lead")), "leads")
     return (
         marked.join(final.hint("shuffle_hash"), "fp")
         .select("row", "fp", F.col("lead.id").alias("component_id"), (F.col("rid") == F.col("lead.rid")).alias("first"))
