@@ -20,6 +20,7 @@ import base64
 import hashlib
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, LongType, StringType
@@ -35,12 +36,12 @@ def read_ranks(content: bytes) -> dict[bytes, int]:
     return {base64.b64decode(t): int(r) for t, r in (line.split() for line in content.splitlines() if line)}
 
 
-def merge_by_rank(data: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """The definition: join the adjacent pair of lowest rank, leftmost first, until none is left."""
+def merge_by_rank(data: bytes, ranks: dict[bytes, int], below: int = 1 << 60) -> list[int]:
+    """The definition: join the adjacent pair of lowest rank, leftmost first, until none ``below`` is left."""
     parts = [data[i : i + 1] for i in range(len(data))]
     while len(parts) > 1:
         rank, at = min((ranks.get(parts[i] + parts[i + 1], 1 << 60), i) for i in range(len(parts) - 1))
-        if rank == 1 << 60:
+        if rank >= below:
             break
         parts[at : at + 2] = [parts[at] + parts[at + 1]]
     return [ranks[p] for p in parts]
@@ -52,9 +53,11 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int], max_states: int = MAX_STATES):
         self.ranks, self.max_states = ranks, max_states
         self.tokens = {r: t for t, r in ranks.items()}
+        self.bytes = [bytes((b,)) for b in range(256)]
         self.longer = {t[:n] for t in ranks for n in range(1, len(t))}
         self.follows: dict[tuple[int, int], bool] = {}
         self.whole: dict[int, bool] = {}
+        self.halves: dict[int, tuple[int, int] | None] = {}
         self._reset()
 
     def _reset(self) -> None:
@@ -64,41 +67,75 @@ class Transducer:
         self.arcs: list[dict[int, tuple[tuple, int]]] = [{}]
         self.ends: list[tuple | None] = [()]
 
+    def _halves(self, token: int) -> tuple[int, int] | None:
+        """The two tokens that the last join of ``token`` joins; None for a byte or a token that no joins reach."""
+        if token not in self.halves:
+            data = self.tokens[token]
+            parts = merge_by_rank(data, self.ranks, token) if len(data) > 1 else []
+            self.halves[token] = tuple(parts) if len(parts) == 2 else None
+            self.whole[token] = len(data) == 1 or len(parts) == 2
+        return self.halves[token]
+
     def _may_follow(self, last: int, token: int) -> bool:
-        if token not in self.whole:
-            self.whole[token] = merge_by_rank(self.tokens[token], self.ranks) == [token]
+        """Whether the two stay apart when their bytes are joined.
+
+        Joins happen in order of rank, so the two are taken apart again at their common edge, the later join
+        first. The edge must not join before the join that has just been undone; of equal ranks the left one comes first.
+        """
+        self._halves(token)
         if last < 0 or not self.whole[token]:
             return self.whole[token]
         pair = last, token
-        if pair not in self.follows:
+        known = self.follows.get(pair)
+        if known is None:
             if len(self.follows) > 4 * self.max_states:
                 self.follows.clear()
-            self.follows[pair] = merge_by_rank(self.tokens[last] + self.tokens[token], self.ranks) == [last, token]
-        return self.follows[pair]
+            known = self.follows[pair] = self._stay_apart(last, token)
+        return known
+
+    def _stay_apart(self, left: int, right: int) -> bool:
+        until, tokens, ranks = 1 << 60, self.tokens, self.ranks
+        while True:
+            if ranks.get(tokens[left] + tokens[right], 1 << 60) < until:
+                return False
+            left_parts, right_parts = self._halves(left), self._halves(right)
+            if left_parts and (left > right or not right_parts):
+                until, left = left, left_parts[1]
+            elif right_parts:
+                until, right = right + 1, right_parts[0]
+            else:
+                return True
 
     def _arc(self, state: int, byte: int) -> tuple[tuple, int]:
-        readings = []
+        readings, ranks, longer, end = [], self.ranks, self.longer, None
+        one = self.bytes[byte]
         for pending, last, part in self.states[state]:
-            part += bytes((byte,))
-            token = self.ranks.get(part)
-            if part in self.longer:
+            part += one
+            if part in longer:
                 readings.append((pending, last, part))
-            if token is not None and self._may_follow(last, token):
-                readings.append(((*pending, token), token, b""))
-        if not any(part == b"" for _, _, part in readings):
+            token = ranks.get(part)
+            if token is not None and end is None and self._may_follow(last, token):
+                end = (*pending, token)  # the one reading in which all bytes so far are whole tokens
+                readings.append((end, token, b""))
+        if end is None:
             raise ValueError("the ranks do not encode this text")
         agreed = 0
-        shortest = min(len(p) for p, _, _ in readings)
-        while agreed < shortest and len({p[agreed] for p, _, _ in readings}) == 1:
-            agreed += 1
-        out = readings[0][0][:agreed]
-        to = tuple(sorted((p[agreed:], last, part) for p, last, part in readings))
+        if len(readings) == 1:
+            agreed = len(end)
+        else:
+            readings.sort()
+            for one, other in zip(readings[0][0], readings[-1][0], strict=False):
+                if one != other:
+                    break
+                agreed += 1
+        out = end[:agreed]
+        to = tuple((p[agreed:], last, part) for p, last, part in readings) if agreed else tuple(readings)
         number = self.numbers.get(to)
         if number is None:
             number = self.numbers[to] = len(self.states)
             self.states.append(to)
             self.arcs.append({})
-            self.ends.append(next(p for p, _, part in to if part == b""))
+            self.ends.append(end[agreed:])
         self.arcs[state][byte] = found = out, number
         return found
 
@@ -158,11 +195,35 @@ class Decoder:
             yield out
         self.held = held
 
+    def feed(self, ids: np.ndarray, whole: np.ndarray) -> bytes:
+        """As ``push`` for many ids; runs of tokens that are ``whole`` characters need no state."""
+        out, at, tokens, numbers = [], 0, self.tokens, ids.tolist()
+        for odd in [*np.flatnonzero(~whole[ids]).tolist(), len(numbers)]:
+            if odd < at:
+                continue
+            while self.held and at < len(numbers):
+                out += self.push(numbers[at : at + 1])
+                at += 1
+            out += map(tokens.__getitem__, numbers[at:odd])
+            at = max(at, odd)
+            if at < len(numbers):
+                out += self.push(numbers[at : at + 1])
+                at += 1
+        return b"".join(out)
+
     def finish(self) -> bytes:
         rest, self.held = self.held, b""
         return rest
 
 
+def whole_tokens(tokens: dict[int, bytes]) -> np.ndarray:
+    """By id, whether a token is whole characters of UTF-8."""
+    out = np.zeros(max(tokens, default=-1) + 1, bool)
+    for token, data in tokens.items():
+        out[token] = data.decode("utf-8", "replace").encode() == data
+    return out
+
+
 def bpe_round_trip(
     docs: DataFrame, ranks: bytes, pattern: str, text: str = "text", with_ids: bool = False, cache_size: int = CACHE_SIZE
 ) -> DataFrame:
@@ -177,15 +238,14 @@ def bpe_round_trip(
     schema = schema_with(rows.schema["row"].dataType, *fields, *([("ids", BinaryType())] if with_ids else []))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
         import regex
 
         home = worker_cache("bpe")
         key = len(shared.value), hash(shared.value)
         if key not in home:
             own = Transducer(read_ranks(shared.value))
-            home[key] = own, {}, {}
-        own, memo, arcs = home[key]
+            home[key] = own, {}, {}, whole_tokens(own.tokens)
+        own, memo, arcs, whole = home[key]
         pieces = regex.compile(pattern)
 
         class Pieces(dict):
@@ -205,7 +265,7 @@ def bpe_round_trip(
             for data in batch.column("data").to_pylist():
                 ids = b"".join(map(lookup, pieces.findall(data.decode())))
                 decoder = Decoder(own.tokens, arcs)
-                back = b"".join(decoder.push(np.frombuffer(ids, "<u4").tolist())) + decoder.finish()
+                back = decoder.feed(np.frombuffer(ids, "<u4"), whole) + decoder.finish()
                 counts.append(len(ids) // 4)
                 ids_digests.append(hashlib.sha256(ids).hexdigest())
                 text_digests.append(hashlib.sha256(back).hexdigest())

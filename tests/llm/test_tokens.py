@@ -9,11 +9,12 @@ import tiktoken
 from llm.conftest import same_rows, texts_of
 from tokenizers import Tokenizer
 
-from patronscope.llm.bpe import Decoder, Transducer, bpe_round_trip, merge_by_rank, read_ranks, waiting
+from patronscope.llm.bpe import Decoder, Transducer, bpe_round_trip, merge_by_rank, read_ranks, waiting, whole_tokens
 from patronscope.llm.token_counts import UNSURE, frequent_pieces, token_counts
 
 JSON = Path(P.path("byte_bpe_50k.json")).read_text()
 RANKS = Path(P.path("byte_bpe_multi_50k.tiktoken")).read_bytes()
+WHOLE = whole_tokens({r: t for t, r in read_ranks(RANKS).items()})
 
 
 @pytest.fixture(scope="module")
@@ -86,4 +87,11 @@ def test_decoder_releases_whole_characters():
     broken = b"\xe6\xbc \xff\xc3\xc3\xa9\xed\xa0\x80\xf0\x9f\x98"
     decoder = Decoder(tokens)
     assert b"".join([*decoder.push(broken), decoder.finish()]) == broken
+    chance, ranks = random.Random(4), read_ranks(RANKS)
+    vocabulary = {r: t for t, r in ranks.items()}
+    for _ in range(200):
+        ids = np.array(chance.choices([*range(300), *chance.sample(range(50_000), 50)], k=chance.randint(0, 60)), np.int64)
+        one, many = Decoder(vocabulary), Decoder(vocabulary)
+        parts = [many.feed(x, WHOLE) for x in np.split(ids, [len(ids) // 3])]
+        assert b"".join(one.push(ids.tolist())) == b"".join(parts) and one.finish() == many.finish()
     assert [waiting(b) for b in (b"", b"a", b"\xc3", b"\xe0\x80", b"\xe0\xa0", b"\xf0\x9f\x98", b"\x80\x80\x80")] == [0, 0, 1, 0, 2, 3, 0]
