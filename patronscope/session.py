@@ -50,8 +50,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+_settled: list[str] = []
+
+
 def settle(df: DataFrame, name: str = "settled") -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back; its lineage ends there."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    _settled.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Free what ``settle`` has written so far; call it once results that read it are written.
+
+    The paths are overwritten with no rows, so this works on any storage that Spark writes to.
+    """
+    while _settled:
+        spark.range(0).write.mode("overwrite").parquet(_settled.pop())
