@@ -147,8 +147,12 @@ def apply_hosts(measured: DataFrame, rates: DataFrame) -> DataFrame:
 def quality_rules(docs: DataFrame, text: str = "text", host: str = "source", keep_text: bool = True) -> DataFrame:
     """(host, row, counts, base_failed, any_failed, host_rate, kept) for every document.
 
-    ``row`` holds the input columns, the text only with ``keep_text``. The counts are computed
-    once and written to the shared folder.
+    ``row`` holds the input columns, the text only with ``keep_text``. Without texts the counts are written
+    once to the shared folder; with texts they are computed again for the verdicts, as
+    that takes less than another copy of the texts. The host rates are written, so Spark knows their size
+    when it plans the join.
     """
-    measured = settle(measure(docs, text, host, keep_text), "quality")
-    return apply_hosts(measured, host_rates(measured))
+    measured = measure(docs, text, host, keep_text)
+    if not keep_text:
+        measured = settle(measured, "quality")
+    return apply_hosts(measured, settle(host_rates(measured), "hosts"))
