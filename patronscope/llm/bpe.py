@@ -27,8 +27,8 @@ from pyspark.sql.types import BinaryType, LongType, StringType
 
 from patronscope.llm.common import packed_rows, schema_with, worker_cache
 
-MAX_STATES = 60_000
-CACHE_SIZE = 200_000
+MAX_STATES = 140_000
+CACHE_SIZE = 300_000
 CACHED_PIECE = 64
 
 
@@ -177,7 +177,7 @@ def waiting(data: bytes) -> int:
 class Decoder:
     """Ids in, bytes of whole characters out; ``arcs`` remembers (bytes held, id) -> (held, released)."""
 
-    def __init__(self, tokens: dict[int, bytes], arcs: dict | None = None, max_arcs: int = 2 * MAX_STATES):
+    def __init__(self, tokens: dict[int, bytes], arcs: dict | None = None, max_arcs: int = MAX_STATES):
         self.tokens, self.max_arcs, self.held = tokens, max_arcs, b""
         self.arcs = {} if arcs is None else arcs
 

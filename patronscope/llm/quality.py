@@ -96,9 +96,12 @@ def rule_failures() -> dict[str, Column]:
 
 
 def measure(docs: DataFrame, text: str = "text", host: str = "source", keep_text: bool = True) -> DataFrame:
-    """(row, host, the counts, base_failed, any_failed) for every document."""
+    """(row, host, the counts, base_failed, any_failed) for every document.
+
+    The counts come out of ``explode``, so that a filter on them is not pushed below and computes them again.
+    """
     kept = [docs[f"`{c}`"] for c in docs.columns if keep_text or c != text]
-    stats = docs.select(F.struct(*kept).alias("row"), docs[f"`{host}`"].alias("host"), text_stats(docs[f"`{text}`"]).alias("stats"))
+    stats = docs.select(F.struct(*kept).alias("row"), docs[f"`{host}`"].alias("host"), F.explode(F.array(text_stats(docs[f"`{text}`"]))).alias("stats"))
     rules = rule_failures()
     base = rules["few_words"] | rules["repeats"]
     return stats.select("row", "host", "stats.*").withColumns({
