@@ -12,8 +12,8 @@ MICROS_PER_DAY = 86_400_000_000
 
 
 def strip(c: Column) -> Column:
-    """Remove any white space at both ends; ``trim`` would remove only blanks."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    """Remove any white space of Unicode at both ends; ``trim`` would remove only blanks."""
+    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
 
 
 def null_if_in(c: Column, tokens: list[str]) -> Column:

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> str:
     writer = df.write.mode("overwrite")
     if fmt == "csv":
-        # the writer would trim text by default
+        # the writer would trim text by default; times are written as the loader reads them
         writer = writer.options(
-            header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+            header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+            timestampFormat="yyyy-MM-dd HH:mm:ss", timestampNTZFormat="yyyy-MM-dd HH:mm:ss",
         )
     writer.format(fmt).save(path)
     return path
