@@ -27,7 +27,7 @@ from pyspark.sql.types import BinaryType, LongType, StringType
 
 from patronscope.llm.common import packed_rows, schema_with, worker_cache
 
-MAX_STATES = 140_000
+MAX_STATES = 200_000
 CACHE_SIZE = 300_000
 CACHED_PIECE = 64
 
@@ -54,7 +54,7 @@ class Transducer:
         self.ranks, self.max_states = ranks, max_states
         self.tokens = {r: t for t, r in ranks.items()}
         self.bytes = [bytes((b,)) for b in range(256)]
-        self.longer = {t[:n] for t in ranks for n in range(1, len(t))}
+        self.longer = {p: p for t in ranks for p in (t[:n] for n in range(1, len(t)))}  # so that states share them
         self.follows: dict[tuple[int, int], bool] = {}
         self.whole: dict[int, bool] = {}
         self.halves: dict[int, tuple[int, int] | None] = {}
@@ -88,7 +88,7 @@ class Transducer:
         pair = last, token
         known = self.follows.get(pair)
         if known is None:
-            if len(self.follows) > 4 * self.max_states:
+            if len(self.follows) > 2 * self.max_states:
                 self.follows.clear()
             known = self.follows[pair] = self._stay_apart(last, token)
         return known
@@ -111,8 +111,9 @@ class Transducer:
         one = self.bytes[byte]
         for pending, last, part in self.states[state]:
             part += one
-            if part in longer:
-                readings.append((pending, last, part))
+            begun = longer.get(part)
+            if begun is not None:
+                readings.append((pending, last, begun))
             token = ranks.get(part)
             if token is not None and end is None and self._may_follow(last, token):
                 end = (*pending, token)  # the one reading in which all bytes so far are whole tokens
@@ -177,7 +178,7 @@ def waiting(data: bytes) -> int:
 class Decoder:
     """Ids in, bytes of whole characters out; ``arcs`` remembers (bytes held, id) -> (held, released)."""
 
-    def __init__(self, tokens: dict[int, bytes], arcs: dict | None = None, max_arcs: int = MAX_STATES):
+    def __init__(self, tokens: dict[int, bytes], arcs: dict | None = None, max_arcs: int = 100_000):
         self.tokens, self.max_arcs, self.held = tokens, max_arcs, b""
         self.arcs = {} if arcs is None else arcs
 
