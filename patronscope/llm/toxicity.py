@@ -9,8 +9,10 @@ tokens and stems. Labels come from a hash sample of about ``MAX_LABELED`` labell
 Scoring. One linear scan finds all maximal-scoring segments of a text (Ruzzo and Tompa). In clean text
 the best score of n tokens follows an extreme-value distribution with parameters lambda
 (from the token scores) and K (fitted to clean documents). A segment with an expectation of at
-most ``MAX_EXPECTED`` is a toxic passage. The normalised best score becomes a probability by a logistic curve.
-Token scores are learned and the curve is fitted on different documents.
+most ``MAX_EXPECTED`` is a toxic passage. Toxic words may be scattered, so the best segments of a text are judged
+together by the sum statistic of Karlin and Altschul: the r best ones, each expected less than once, for the r that is
+least likely in clean text. Its log chance becomes a probability by a logistic curve. Token scores are learned and the
+curve is fitted on different documents.
 
 Defined cases: a null or empty text has no segment and gets the score of normalised value ``-ln K``; labels with a
 null id or a value other than 0 and 1 are not used; a doc_id labelled more than once takes the larger
@@ -38,8 +40,8 @@ from patronscope.session import settle
 MAX_LABELED = 20_000
 MAX_TOKENS = 200_000
 STEM = 4
-TOKEN_PRIOR, STEM_PRIOR = 20.0, 100.0
-DRIFT = 1.0
+TOKEN_PRIOR, STEM_PRIOR = 2.0, 30.0
+DRIFT = 2.0
 MAX_EXPECTED = 0.01
 #: Documents are split by crc32(id) mod FOLDS: HELD_OUT is never learned from, CALIBRATE fits the curve.
 FOLDS, HELD_OUT, CALIBRATE = 5, 0, 4
@@ -114,13 +116,30 @@ def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     return [(s, e, right - left) for s, e, left, right, _ in stack]
 
 
+def joint_score(scores: list[float], decay: float, size: float) -> float:
+    """Minus the log chance of the r best segment scores in clean text, for the r with the largest one.
+
+    ``size`` is ln(K n). A normalised score above zero is expected less than once; without such a segment the best normalised
+    score is returned. Every further segment costs a factor of two, as r is chosen from the data.
+    """
+    known = sorted((decay * s - size for s in scores), reverse=True)
+    if not known or known[0] <= 0:
+        return known[0] if known else -size
+    best, total = known[0], known[0]
+    for r, own in enumerate(known[1:], 2):
+        if own <= 0:
+            break
+        total += own
+        best = max(best, total - (r - 1) * math.log(2 * total) + math.lgamma(r + 1) + math.lgamma(r))
+    return best
+
+
 def passages(scores: np.ndarray, model: Model, max_expected: float = MAX_EXPECTED) -> tuple[list[tuple[int, int, float]], float]:
-    """Significant segments, and the normalised best score of the text."""
+    """Significant segments, and the joint score of the text."""
     found = maximal_segments(scores)
     size = math.log(model.constant * max(len(scores), 1))
-    best = max((s for _, _, s in found), default=0.0)
     bar = (size - math.log(max_expected)) / model.decay
-    return [f for f in found if f[2] >= bar], model.decay * best - size
+    return [f for f in found if f[2] >= bar], joint_score([s for _, _, s in found], model.decay, size)
 
 
 def labeled_sample(labels: DataFrame, id_col: str, label: str, bound: int) -> DataFrame:
@@ -191,7 +210,7 @@ def learn_tokens(learned: DataFrame) -> Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic", max_labeled: int = MAX_LABELED) -> Model:
-    """Learn from the labelled sample. The driver gets the bounded tables and two numbers per sampled document."""
+    """Learn from the labelled sample. The driver gets the bounded tables and three numbers per sampled document."""
     sample = F.broadcast(labeled_sample(labels, id_col, label, max_labeled))
     learned = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")).join(sample, "id")
     learned = settle(learned.select("text", "label", (fold(F.col("id")) == CALIBRATE).alias("calibrate")), "labeled")
@@ -210,15 +229,26 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
                 size.append(len(own))
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(top, pa.float64()), pa.array(size, pa.int64())], names=["label", "best", "n"])
 
-    rest = learned.where("calibrate").select("text", "label").mapInArrow(best, "label int, best double, n long").toPandas()
-    y, top, n = rest["label"].to_numpy(float), rest["best"].to_numpy(), np.maximum(rest["n"].to_numpy(), 1)
+    rest = learned.where("calibrate").select("text", "label")
+    bests = rest.mapInArrow(best, "label int, best double, n long").toPandas()
+    y, top, n = bests["label"].to_numpy(float), bests["best"].to_numpy(), np.maximum(bests["n"].to_numpy(), 1)
     clean = y == 0
     constant = float(clean.sum() / (n[clean] * np.exp(-decay * top[clean])).sum()) if clean.any() else 1.0
     if clean.all() or not clean.any():
         share = float(y.mean()) if len(y) else 0.0
         return model._replace(decay=decay, constant=constant, intercept=math.log(max(share, 1e-9) / max(1 - share, 1e-9)))
-    intercept, slope = _logistic(decay * top - np.log(constant * n), y)
-    return model._replace(decay=decay, constant=constant, intercept=intercept, slope=slope)
+    model = model._replace(decay=decay, constant=constant)
+    scaled = docs.sparkSession.sparkContext.broadcast(model)
+
+    def joint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, scores = scaled.value, Scores(scaled.value)
+        for batch in batches:
+            found = [passages(scores.of(value), model)[1] for value in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, pa.float64())], names=["label", "joint"])
+
+    judged = rest.mapInArrow(joint, "label int, joint double").toPandas()
+    intercept, slope = _logistic(judged["joint"].to_numpy(), judged["label"].to_numpy(float))
+    return model._replace(intercept=intercept, slope=slope)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text", max_expected: float = MAX_EXPECTED) -> DataFrame:
