@@ -460,5 +460,20 @@ SQL = {
 }
 
 
+CHART_TABLES = {
+    "order_status": "ch1_order_status", "review_scores": "ch2_review_scores", "monthly_orders": "ch3_monthly_orders",
+    "top_states": "ch4_top_states", "top_categories": "ch5_top_categories", "payment_types": "ch6_payment_types",
+    "installments": "ch7_installments", "price_histogram": "ch8_price_histogram",
+    "price_freight_sample": "ch9_price_freight_sample", "delivery_histogram": "ch10_delivery_histogram",
+    "top_sellers": "ch11_top_sellers", "top_category_scores": "ch12_top_category_scores",
+    "correlations": "ch13_correlations", "monetary_histogram": "ch14_monetary_histogram",
+    "recency_frequency_sample": "ch15_recency_frequency_sample", "top_states_features": "ch16_top_states_features",
+    "preferred_categories": "ch17_preferred_categories",
+}
+SQL["ch20_all_tables"] = " union all ".join(
+    f"""select '{t}' as "table", count(*) as rows from ({SQL[q]})""" for t, q in CHART_TABLES.items()
+)
+
+
 def oracle() -> dict[str, str]:
     return {name: with_views(sql, VIEWS, KEYED) for name, sql in SQL.items()}

@@ -1,5 +1,6 @@
 """Features, chart tables and quantiles on small frames."""
 
+import hashlib
 import random
 
 import numpy as np
@@ -159,6 +160,16 @@ def test_sample_size(spark):
     first = [r.id for r in fixed_sample(df, ["id"], 10, 1).collect()]
     assert first == [r.id for r in fixed_sample(df.repartition(7), ["id"], 10, 1).collect()]
     assert first != [r.id for r in fixed_sample(df, ["id"], 10, 2).collect()]
+    assert fixed_sample(df.where("id < 0"), ["id"], 10, 1).count() == 0
+
+
+def test_sample_rows(spark):
+    """The rows of least digest, repeated rows included."""
+    ids = [i // 2 for i in range(1000)]
+    plain = sorted(ids, key=lambda i: hashlib.md5(f"{i}-1".encode()).hexdigest())
+    df = spark.createDataFrame([(i,) for i in ids], "id long")
+    for size in (1, 9, 500, 1000):
+        assert [r.id for r in fixed_sample(df, ["id"], size, 1).collect()] == plain[:size]
 
 
 @pytest.mark.parametrize("seed", range(3))
