@@ -1,17 +1,21 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: rare words and word pairs as seeds, then Smith-Waterman alignment.
 
 Test items are a stated query set; they are taken in blocks of bounded size, and each block meets all
 documents. Two passes per block:
 
-1. count in how many documents every n-gram of the items occurs (map-side sums, one row per n-gram);
-   of every ``STRIDE`` consecutive n-grams of an item the rarest becomes a seed, so any
-   ``NGRAM + STRIDE - 1`` copied words hold one;
-2. join the n-grams of the documents with the seeds, and align the item with the passage around
-   the hits. The score is the alignment's score over that of a perfect copy; substituted,
+1. count how often every word and every pair of adjacent words of the items occurs (map-side sums, one row each);
+   the rarest of them per item become its seeds;
+2. where enough seeds of an item lie within the length of a passage, align it with the words around
+   them. The score is the alignment's score over that of a perfect copy; substituted,
    inserted and dropped words lower it.
 
-Defined cases: null texts have no words; items without words match nothing; an item shorter than ``NGRAM`` is one
-n-gram; repeated items and documents give repeated rows; a document that holds an item more than once gives its best
+No pair of score ``min_score`` or more is lost. M matches and E edits score 2 M - E, and the matches
+form at most E + 1 runs, so at least M - E - 1 adjacent pairs are intact: words and pairs together at least
+score - 1. An item of L words has 2 L - 1 words and pairs. Of any ``most - least + t`` of them, ``least`` being the number
+that must be intact and ``most`` all, t at least are. The counts only decide which are cheap to look for.
+
+Defined cases: null texts have no words; items without words match nothing; an item of one word is
+one seed; repeated items and documents give repeated rows; a document that holds an item more than once gives its best
 passage; null ids are carried; without documents or items the result is empty.
 """
 
@@ -30,97 +34,119 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from patronscope.llm.common import packed_rows, values_of
 
-NGRAM = 5
-STRIDE = 4
 MIN_SCORE = 0.5
+#: ``bounds`` relies on these costs.
 MATCH, MISMATCH, GAP = 2, -1, -1
+#: Of the words and pairs that must be intact, this part is looked for.
+SEED_PART = 0.25
 #: Bytes of item texts in a block, which is sent to all tasks.
 BLOCK_BYTES = 8_000_000
 
 WORD = re.compile(r"\w+")
-MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Items(NamedTuple):
-    """A block of items: words as numbers, n-grams as sorted hashes with their places."""
+    """A block of items: words as numbers, pairs of words as sorted codes; marks are the words, then the pairs."""
 
     words: dict[str, int]
     texts: list[np.ndarray]
-    grams: np.ndarray
-    gram: np.ndarray
+    pairs: np.ndarray
+    marks: list[np.ndarray]
+
+
+class Seeds(NamedTuple):
+    """Items by mark: those of mark m are ``item[first[m] : first[m + 1]]``. Per item the seeds and marks it takes and the length of a passage."""
+
+    first: np.ndarray
     item: np.ndarray
-    place: np.ndarray
-
-
-def gram_hashes(ids: np.ndarray, n: int) -> np.ndarray:
-    """A 64-bit hash of every n consecutive numbers; hits are verified by the alignment."""
-    if len(ids) < n:
-        return np.zeros(0, np.uint64)
-    known = ids.astype(np.uint64) + np.uint64(1)
-    out = np.full(len(ids) - n + 1, np.uint64(n))
-    for k in range(n):
-        out = (out ^ known[k : k + len(out)]) * MIX
-        out ^= out >> np.uint64(29)
-    return out
+    hits: np.ndarray
+    least: np.ndarray
+    span: np.ndarray
+
 
+def pair_codes(ids: np.ndarray, words: int) -> np.ndarray:
+    """One number per pair of neighbors; -1 is a word of no item, and no item holds a code made with it."""
+    return (ids[:-1] + 1) * (words + 1) + ids[1:] + 1
 
-def prepare(texts: list[str], n: int = NGRAM) -> Items:
+
+def prepare(texts: list[str]) -> Items:
     words: dict[str, int] = {}
     numbered = [np.array([words.setdefault(w, len(words)) for w in WORD.findall(t.lower())], np.int64) for t in texts]
-    hashes = [gram_hashes(t, min(n, len(t))) if len(t) else np.zeros(0, np.uint64) for t in numbered]
-    flat = np.concatenate([np.zeros(0, np.uint64), *hashes])
-    grams, gram = np.unique(flat, return_inverse=True)
-    item = np.repeat(np.arange(len(hashes)), [len(h) for h in hashes])
-    place = np.concatenate([np.zeros(0, np.int64), *[np.arange(len(h)) for h in hashes]])
-    return Items(words, numbered, grams, gram, item, place)
+    codes = [pair_codes(t, len(words)) for t in numbered]
+    pairs = np.unique(np.concatenate([np.zeros(0, np.int64), *codes]))
+    marks = [np.concatenate([t, len(words) + np.searchsorted(pairs, c)]) for t, c in zip(numbered, codes, strict=True)]
+    return Items(words, numbered, pairs, marks)
 
 
-def text_grams(text: str, items: Items, sizes: list[int]) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
-    """Word numbers (-1: in no item), and for every size (start, hash) of n-grams of known words."""
+def text_marks(text: str, items: Items) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word numbers (-1: in no item), and the places and numbers of all marks in the text."""
     get = items.words.get
     ids = np.array([get(w, -1) for w in WORD.findall(text.lower())], np.int64)
-    found = []
-    known = np.concatenate([[0], np.cumsum(ids >= 0)])
-    for n in sizes:
-        starts = np.flatnonzero(known[n:] - known[:-n] == n) if len(ids) >= n else np.zeros(0, np.int64)
-        if len(starts):
-            lots = ids.astype(np.uint64) + np.uint64(1)
-            out = np.full(len(starts), np.uint64(n))
-            for k in range(n):
-                out = (out ^ lots[starts + k]) * MIX
-                out ^= out >> np.uint64(29)
-            found.append((starts, out))
-    return ids, found
-
-
-def gram_sizes(items: Items, n: int = NGRAM) -> list[int]:
-    return sorted({min(n, len(t)) for t in items.texts if len(t)})
-
-
-def find(sorted_hashes: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(which of ``hashes`` are known, their index)."""
-    if not len(sorted_hashes):
+    single = np.flatnonzero(ids >= 0)
+    double = single[:-1][np.diff(single) == 1]
+    codes = (ids[double] + 1) * (len(items.words) + 1) + ids[double + 1] + 1 if len(double) else double
+    hit, at = find(items.pairs, codes)
+    return ids, np.concatenate([single, double[hit]]), np.concatenate([ids[single], len(items.words) + at])
+
+
+def find(known: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(which of ``codes`` are among the sorted ``known``, their index)."""
+    if not len(known):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    at = np.minimum(np.searchsorted(sorted_hashes, hashes), len(sorted_hashes) - 1)
-    hit = np.flatnonzero(sorted_hashes[at] == hashes)
+    at = np.minimum(np.searchsorted(known, codes), len(known) - 1)
+    hit = np.flatnonzero(known[at] == codes)
     return hit, at[hit]
 
 
-def choose_seeds(items: Items, documents: np.ndarray, stride: int = STRIDE) -> np.ndarray:
-    """Indices into the postings: of every ``stride`` consecutive n-grams of an item the rarest.
-
-    Rare: few documents times few places in the items.
-    """
-    weight = (documents + 1.0) * np.bincount(items.gram, minlength=len(items.grams))
-    chosen = []
-    bounds = np.searchsorted(items.item, np.arange(len(items.texts) + 1))
-    for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-        own = weight[items.gram[low:high]]
-        span = min(stride, len(own))
-        if span:
-            windows = np.lib.stride_tricks.sliding_window_view(own, span)
-            chosen.append(low + np.unique(np.arange(len(windows)) + windows.argmin(axis=1)))
-    return np.concatenate([np.zeros(0, np.int64), *chosen])
+def bounds(size: int, min_score: float) -> tuple[int, int]:
+    """(marks that a copy of ``min_score`` keeps at least, words of its passage at most) for an item of ``size`` words."""
+    need = math.ceil(min_score * MATCH * size - 1e-9)
+    return max(need - 1, -(-need // MATCH), 1), size + MATCH * size - need
+
+
+def choose_seeds(items: Items, counts: np.ndarray, min_score: float) -> Seeds:
+    """The rarest marks of each item, so many that a copy of ``min_score`` keeps ``hits`` of them."""
+    chosen, hits, least, span = [], [], [], []
+    for own in items.marks:
+        kept, longest = bounds((len(own) + 1) // 2, min_score)
+        some = max(1, int(SEED_PART * kept))
+        rare = own[np.argsort(counts[own], kind="stable")]
+        chosen.append(np.unique(rare[: len(own) - kept + some]))
+        hits.append(some)
+        least.append(kept)
+        span.append(longest)
+    mark = np.concatenate([np.zeros(0, np.int64), *chosen])
+    item = np.repeat(np.arange(len(chosen)), [len(c) for c in chosen])
+    order = np.argsort(mark, kind="stable")
+    first = np.searchsorted(mark[order], np.arange(len(counts) + 1))
+    return Seeds(first, item[order], *[np.array(x, np.int64) for x in (hits, least, span)])
+
+
+def seeded(places: np.ndarray, marks: np.ndarray, size: int, seeds: Seeds) -> dict[int, list[tuple[int, int]]]:
+    """item -> parts of a text of ``size`` words that hold every passage with enough seeds of the item."""
+    copies = seeds.first[marks + 1] - seeds.first[marks]
+    total = int(copies.sum())
+    if not total:
+        return {}
+    at = np.arange(total) + np.repeat(seeds.first[marks] - np.cumsum(copies) + copies, copies)
+    step = size + int(seeds.span.max()) + 1
+    key = np.sort(seeds.item[at] * step + np.repeat(places, copies))
+    item = key // step
+    last = np.arange(total) + seeds.hits[item] - 1
+    inside = last < total
+    item, key, end = item[inside], key[inside], key[last[inside]]
+    near = end - key < seeds.span[item]
+    item, key, end = item[near], key[near], end[near]
+    lows = np.maximum(end - item * step - seeds.span[item] + 1, 0)
+    highs = np.minimum(key - item * step + seeds.span[item], size)
+    parts: dict[int, list[tuple[int, int]]] = {}
+    for who, low, high in zip(item.tolist(), lows.tolist(), highs.tolist(), strict=True):
+        own = parts.setdefault(who, [])
+        if own and low <= own[-1][1]:
+            own[-1] = own[-1][0], high
+        else:
+            own.append((low, high))
+    return parts
 
 
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
@@ -139,27 +165,19 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
-def passages(ids: np.ndarray, hits: dict[int, list[int]], items: Items, min_score: float) -> Iterator[tuple[int, float, int, int]]:
-    """(item, score, first word, end word) of the best aligned passage per item; ``hits``: item -> places where it would begin."""
-    for item, begins in hits.items():
+def passages(
+    ids: np.ndarray, parts: dict[int, list[tuple[int, int]]], items: Items, least: np.ndarray, min_score: float
+) -> Iterator[tuple[int, float, int, int]]:
+    """(item, score, first word, end word) of the best aligned passage per item; ``parts``: item -> where to look."""
+    words = len(items.words)
+    for item, spans in parts.items():
         own = items.texts[item]
-        slack = len(own) // 2 + 2
+        pairs = pair_codes(own, words)
         need = min_score * MATCH * len(own)
         best = (0, 0, 0)
-        low = high = -1
-        spans = []
-        for begin in sorted(set(begins)):
-            a, b = max(0, begin - slack), min(len(ids), begin + len(own) + slack)
-            if a <= high:
-                high = max(high, b)
-            else:
-                if high >= 0:
-                    spans.append((low, high))
-                low, high = a, b
-        spans.append((low, high))
         for a, b in spans:
             passage = ids[a:b]
-            if MATCH * int(np.isin(own, passage).sum()) < need:
+            if np.isin(own, passage).sum() + np.isin(pairs, pair_codes(passage, words)).sum() < least[item]:
                 continue
             score, end = align(own, passage)
             if score >= need and score > best[0]:
@@ -191,8 +209,8 @@ def contaminated(
     for block in _blocks(benchmark, item_col, item_text, block_bytes):
         items = prepare([r["text"] for r in block])
         shared = sc.broadcast(items)
-        seeds = choose_seeds(items, _document_counts(packed_rows(docs, text).select("data"), shared, len(items.grams)))
-        plan = sc.broadcast((items.grams, seeds, [r["item"] for r in block]))
+        seeds = choose_seeds(items, _mark_counts(packed_rows(docs, text).select("data"), shared), min_score)
+        plan = sc.broadcast((seeds, [r["item"] for r in block]))
         if mark:
             found = _marked(rows if result is None else result, shared, plan, min_score, text)
         else:
@@ -202,51 +220,38 @@ def contaminated(
     return result
 
 
-def _document_counts(data: DataFrame, shared, size: int) -> np.ndarray:
-    """In how many documents each n-gram of the block occurs."""
+def _mark_counts(data: DataFrame, shared) -> np.ndarray:
+    """How often each word and pair of the block occurs in the documents."""
+    size = len(shared.value.words) + len(shared.value.pairs)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = shared.value
-        sizes, sums = gram_sizes(items), np.zeros(len(items.grams), np.int64)
+        items, sums = shared.value, np.zeros(size, np.int64)
         for batch in batches:
             for value in batch.column(0).to_pylist():
-                _, grams = text_grams(value.decode(), items, sizes)
-                seen = [find(items.grams, hashes)[1] for _, hashes in grams]
-                if seen:
-                    sums[np.unique(np.concatenate(seen))] += 1
+                np.add.at(sums, text_marks(value.decode(), items)[2], 1)
         used = np.flatnonzero(sums)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(sums[used])], names=["gram", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(sums[used])], names=["mark", "n"])
 
-    rows = data.mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toPandas()
+    rows = data.mapInArrow(count, "mark long, n long").groupBy("mark").agg(F.sum("n").alias("n")).toPandas()
     out = np.zeros(size)
-    out[rows["gram"].to_numpy(np.int64)] = rows["n"]
+    out[rows["mark"].to_numpy(np.int64)] = rows["n"]
     return out
 
 
 def _search(shared, plan, min_score: float):
     """A function from a text to its aligned items."""
-    items, (_, seeds, _) = shared.value, plan.value
-    sizes = gram_sizes(items)
-    order = seeds[np.argsort(items.gram[seeds], kind="stable")]
-    hashes = items.grams[items.gram[order]]
-    known, first, copies = np.unique(hashes, return_index=True, return_counts=True)
+    items, (seeds, _) = shared.value, plan.value
 
     def search(text: str) -> list[tuple[int, float, int, int]]:
-        ids, grams = text_grams(text, items, sizes)
-        hits: dict[int, list[int]] = {}
-        for starts, own in grams:
-            which, at = find(known, own)
-            for start, index in zip(starts[which].tolist(), at.tolist(), strict=True):
-                for posting in order[first[index] : first[index] + copies[index]].tolist():
-                    hits.setdefault(int(items.item[posting]), []).append(start - int(items.place[posting]))
-        return list(passages(ids, hits, items, min_score)) if hits else []
+        ids, places, marks = text_marks(text, items)
+        return list(passages(ids, seeded(places, marks, len(ids), seeds), items, seeds.least, min_score))
 
     return search
 
 
 def _pairs(rows: DataFrame, shared, plan, min_score: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        search, names = _search(shared, plan, min_score), plan.value[2]
+        search, names = _search(shared, plan, min_score), plan.value[1]
         for batch in batches:
             out = []
             for who, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -258,7 +263,7 @@ def _pairs(rows: DataFrame, shared, plan, min_score: float) -> DataFrame:
                     [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["id", "item", "score", "first_word", "end_word"]
                 )
 
-    item_type = pa.string() if any(isinstance(x, str) for x in plan.value[2]) else pa.int64()
+    item_type = pa.string() if any(isinstance(x, str) for x in plan.value[1]) else pa.int64()
     kind = "string" if item_type == pa.string() else "long"
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, item {kind}, score double, first_word long, end_word long")
 

@@ -207,3 +207,32 @@ def test_decontamination(spark, odd, empty, block_bytes):
     assert marked.select("row.*").columns == docs.columns and marked.count() == docs.count()
     assert {r[0] for r in marked.where("hits > 0").select(F.col("row.doc_id").cast("string")).collect()} == {d for d, _ in got}
     assert contaminated(empty, benchmark).count() == 0 and contaminated(docs, benchmark.where("false")).count() == 0
+
+
+def edited(copy, chance, kinds, edits):
+    for at in sorted(chance.sample(range(len(copy)), edits), reverse=True):
+        kind = chance.choice(kinds)
+        copy[at : at + 1] = {"drop": [], "replace": ["other"], "insert": [copy[at], "more"]}[kind]
+    return copy
+
+
+@pytest.mark.parametrize("min_score", [0.5, 0.7])
+def test_decontamination_finds_every_pair(spark, min_score):
+    chance = random.Random(4)
+    vocabulary = [f"w{i}" for i in range(150)]
+    items = [(i, chance.choices(vocabulary, k=k)) for i, k in enumerate([1, 2, 3, 5, 8, 15, 15, 20, 31, 40])]
+    items.append((10, "the same the same the same the other".split()))
+    one = list(items[5][1])
+    one[7] = "other"
+    spread = [w for word in items[9][1] for w in (word, "more")]
+    rows = [(0, one), (1, spread), (2, [w for i, w in enumerate(items[7][1]) for w in ([w, "x"] if i % 2 else [w])]), (3, ["the", "same"] * 9)]
+    for i in range(4, 160):
+        item = chance.choice(items)[1]
+        copy = edited(list(item), chance, chance.choice([["drop"], ["replace"], ["insert"], ["drop", "replace", "insert"]]), chance.randint(0, len(item)))
+        rows.append((i, chance.choices(vocabulary, k=chance.randint(0, 40)) + copy + chance.choices(vocabulary, k=chance.randint(0, 40))))
+    benchmark = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    found = contaminated(docs, benchmark, min_score=min_score).collect()
+    scores = {(d, i): brute_align(item, text) for d, text in rows for i, item in items}
+    want = {k: pytest.approx(x) for k, x in scores.items() if x >= min_score}
+    assert {(r["id"], r["item"]): r["score"] for r in found} == want and (0, 5) in want
