@@ -9,8 +9,8 @@
 The last three are grouped counts over all pages of the text's first verdicts. All counting and fusing
 is done with joins and column expressions; a hot host is split by adaptive execution.
 
-Learning takes a hash sample of about ``MAX_LABELED`` labelled documents: a documented bound. All pages are
-counted and judged.
+Learning takes a hash sample of about ``MAX_LABELED`` different labelled texts: a documented bound, dealt evenly over the languages.
+A language with fewer texts than its part is taken whole, and the others get the rest. All pages are counted and judged.
 
 Defined cases: a null or empty page has no text evidence, so the other evidence and the prior decide; a null or
 odd address has the empty host; ties go to the language first in alphabetical order; an empty
@@ -37,6 +37,8 @@ from patronscope.session import settle
 
 BUCKETS = 1 << 15
 MAX_LABELED = 8_000
+#: Digests are cut to so many values to draw a part of the texts.
+DRAWS = 1 << 40
 #: Trigrams of one text are strongly dependent; their evidence counts this share.
 TEXT_WEIGHT = 0.3
 #: Pages that the domain's shares are worth at a host, and those of all pages at a domain.
@@ -64,14 +66,28 @@ def trigram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
     return np.unique((mixed >> np.uint64(40)).astype(np.int64) % BUCKETS, return_counts=True)
 
 
+def sample_shares(sizes: dict[str, int], bound: int) -> dict[str, float]:
+    """The part of each language's texts to take, so that about ``bound`` are taken and small languages whole."""
+    shares, left = {}, float(bound)
+    for rank, (name, size) in enumerate(sorted(sizes.items(), key=lambda x: x[1])):
+        shares[name] = min(1.0, left / (len(sizes) - rank) / size)
+        left -= shares[name] * size
+    return shares
+
+
 def fit(docs: DataFrame, lang: str = "lang", text: str = "text", max_labeled: int = MAX_LABELED, held_out: Column | None = None) -> Model:
     """Learn the trigrams of each language; ``BUCKETS`` counts per language reach the driver."""
     known = docs.where(F.col(f"`{lang}`").isNotNull() & F.col(f"`{text}`").isNotNull())
     if held_out is not None:
         known = known.where(~held_out)
     known = known.select(F.lower(F.col(f"`{lang}`")).alias("lang"), F.col(f"`{text}`").alias("text"))
-    parts = max(1, math.ceil(known.select("lang").count() / max_labeled))
-    sample = known.where(F.pmod(F.xxhash64("text"), F.lit(parts)) == 0)
+    digests = known.select("lang", F.xxhash64("text").alias("digest")).distinct()
+    sizes = {r["lang"]: r["count"] for r in digests.groupBy("lang").count().collect()}
+    if not sizes:
+        return Model([], np.zeros((0, BUCKETS)))
+    limits = [F.lit(x) for name, share in sample_shares(sizes, max_labeled).items() for x in (name, math.ceil(share * DRAWS))]
+    drawn = F.pmod(F.xxhash64("text"), F.lit(DRAWS)) < F.create_map(*limits)[F.col("lang")]
+    sample = known.where(drawn).dropDuplicates(["lang", "text"])
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}

@@ -79,6 +79,20 @@ def test_language_of_held_out_texts(spark):
     assert len(rows) > 100 and right >= 0.9 * len(rows)
 
 
+def test_language_sample_of_copies_and_rare_languages(spark):
+    often = [("en", f"the text number {i} of many") for i in range(900)]
+    rare = [("fi", f"harvinainen kieli {i}") for i in range(5)]
+    hot = [("en", "one text that is there very often")] * 500
+    plain = spark.createDataFrame(often + rare + hot[:1], "lang string, text string")
+    copies = spark.createDataFrame(often + rare + hot, "lang string, text string").repartition(3)
+    want, got = language.fit(plain, max_labeled=60), language.fit(copies, max_labeled=60)
+    assert got.languages == ["en", "fi"] and (got.scores == want.scores).all()
+    at, n = language.trigram_counts("harvinainen kieli")
+    whole = language.fit(spark.createDataFrame(rare, "lang string, text string"))
+    assert (got.scores[1] == whole.scores[0]).all() and len(at)
+    assert language.sample_shares({"a": 5, "b": 100, "c": 1000}, 65) == {"a": 1.0, "b": 0.3, "c": 0.03}
+
+
 def brute_segments(scores, offset=0):
     """The segment of largest sum, the shortest of equals, then the same left and right of it."""
     best = max(((sum(scores[i:j]), i - j, -i) for i in range(len(scores)) for j in range(i + 1, len(scores) + 1)), default=(0, 0, 0))
