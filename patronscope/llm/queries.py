@@ -82,7 +82,8 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(toxicity.fold(who) == toxicity.HELD_OUT, F.lit(False))
     return toxicity.score(docs, model).select(
         who.alias("doc_id"), held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
-        "passages", "passage_tokens",
+        F.size("passages").cast("long").alias("passages"),
+        F.aggregate("passages", F.lit(0).cast("long"), lambda total, p: total + p["end"] - p["start"]).alias("passage_tokens"),
     )
 
 

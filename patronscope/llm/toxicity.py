@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
 from patronscope.llm.common import packed_rows, schema_with
 from patronscope.session import settle
@@ -58,6 +58,9 @@ class Model(NamedTuple):
     intercept: float = 0.0
     slope: float = 0.0
 
+PASSAGE = ("start", "end", "score")
+PASSAGES = ArrayType(StructType([StructField(n, t) for n, t in zip(PASSAGE, (LongType(), LongType(), DoubleType()), strict=True)]))
+
 
 def fold(id_col: Column) -> Column:
     return F.crc32(id_col.cast("string").cast("binary")) % FOLDS
@@ -252,22 +255,20 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text", max_expected: float = MAX_EXPECTED) -> DataFrame:
-    """(row, score, passages, passage_tokens) for every document."""
+    """(row, score, passages) for every document; ``passages`` holds the first token, end token and score of each significant passage."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = packed_rows(docs, text)
-    schema = schema_with(rows.schema["row"].dataType, ("score", DoubleType()), ("passages", LongType()), ("passage_tokens", LongType()))
+    kind = pa.list_(pa.struct(list(zip(PASSAGE, (pa.int64(), pa.int64(), pa.float64()), strict=True))))
+    schema = schema_with(rows.schema["row"].dataType, ("score", DoubleType()), ("passages", PASSAGES))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, scores = shared.value, Scores(shared.value)
         for batch in batches:
-            values, numbers, sizes = [], [], []
+            values, spans = [], []
             for data in batch.column("data").to_pylist():
                 found, x = passages(scores.of(data.decode()), model, max_expected)
                 values.append(1 / (1 + math.exp(-min(max(model.intercept + model.slope * x, -500), 500))))
-                numbers.append(len(found))
-                sizes.append(sum(e - s for s, e, _ in found))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array(values, pa.float64()), pa.array(numbers, pa.int64()), pa.array(sizes, pa.int64())], names=schema.names
-            )
+                spans.append([dict(zip(PASSAGE, f, strict=True)) for f in found])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(values, pa.float64()), pa.array(spans, kind)], names=schema.names)
 
     return rows.mapInArrow(run, schema)

@@ -145,6 +145,16 @@ def test_toxicity_scores(spark, small, odd, empty):
     assert toxicity.score(empty, model).count() == 0
 
 
+def test_toxicity_passages(spark, small):
+    model = toxicity.fit(small, spark.read.parquet(f"{DATA}/labels.parquet"))
+    model = model._replace(constant=1e-3)  # so that short passages are significant
+    got = {r[0]: [tuple(p) for p in r[1]] for r in toxicity.score(small, model).select("row.doc_id", "passages").collect()}
+    scores = toxicity.Scores(model)
+    want = {r["doc_id"]: toxicity.passages(scores.of(r["text"]), model)[0] for r in small.collect()}
+    assert got == want and any(want.values())
+    assert all(0 <= start < end and score > 0 for found in got.values() for start, end, score in found)
+
+
 @pytest.mark.parametrize("rows", [[], [(i, 0, 0) for i in range(40)], [(i, 0, 1) for i in range(40)]])
 def test_toxicity_without_both_classes(spark, small, rows):
     model = toxicity.fit(small, label_frame(spark, rows))
