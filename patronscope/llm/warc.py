@@ -10,7 +10,8 @@ digest, length and id of it.
 Salvage reader. Each archive is read member by member (or record by record if not
 compressed). Checks: gzip length and checksum, version line, header block, Content-Length, end of
 record, digest. After a failed check the reader searches for the next place that begins a valid member or version line, goes
-on there, and logs the bytes between as a gap with the reason.
+on there, and logs the bytes between as a gap with the reason. A member may hold many records, whose offset and length
+are those of the member; of a damaged member the bytes up to the damage are searched for records.
 
 Defined cases: a null payload is empty; a null id is written without id and read as null, and never
 names a response that others refer to unless all ids are null; rows that repeat the smallest id are all
@@ -108,21 +109,42 @@ def parse_record(data: bytes, at: int = 0) -> Record:
     return Record(headers, body, end + 4 - at)
 
 
-def read_member(data: bytes, at: int, step: int = 1 << 16) -> tuple[bytes, int]:
-    """Content and end of the gzip member at ``at``; length and checksum are verified.
+def read_member(data: bytes, at: int, step: int = 1 << 16) -> tuple[bytes, int, str | None]:
+    """Content and end of the gzip member at ``at``, and the reason if it is damaged; length and checksum are verified.
 
-    The input is fed in steps, so the rest of the file is not copied for each member.
+    The input is fed in steps, so the rest of the file is not copied for each member. The step that fails is
+    fed again byte by byte, so the content reaches up to the damage.
     """
     machine, out, to, view = zlib.decompressobj(31), [], at, memoryview(data)
     try:
         while not machine.eof and to < len(data):
             out.append(machine.decompress(view[to : to + step]))
             to = min(to + step, len(data))
-    except zlib.error as e:
-        raise Problem("gzip member") from e
+    except zlib.error:
+        machine, out = zlib.decompressobj(31), []
+        try:
+            for begin in range(at, to, step):
+                out.append(machine.decompress(view[begin : begin + step]))
+            for begin in range(to, len(data)):
+                out.append(machine.decompress(view[begin : begin + 1]))
+        except zlib.error:
+            return b"".join(out), begin, "gzip member"
     if not machine.eof:
-        raise Problem("cut gzip member")
-    return b"".join(out), to - len(machine.unused_data)
+        return b"".join(out), to, "cut gzip member"
+    return b"".join(out), to - len(machine.unused_data), None
+
+
+def records_of(content: bytes) -> Iterator[tuple[Record | None, str | None]]:
+    """(record, None) for every good record of a member's content, (None, reason) for every gap."""
+    at = 0
+    while at < len(content):
+        try:
+            record = parse_record(content, at)
+            yield record, None
+            at += record.size
+        except Problem as e:
+            yield None, str(e)
+            at = _next_valid(content, at, False)
 
 
 def _next_valid(data: bytes, at: int, packed: bool) -> int:
@@ -137,9 +159,9 @@ def _next_valid(data: bytes, at: int, packed: bool) -> int:
             return len(data)
         try:
             if packed:
-                content, _ = read_member(data, at)
-                if content:
-                    parse_record(content)
+                content, _, problem = read_member(data, at)
+                if problem and not any(record for record, _ in records_of(content)):
+                    continue
             else:
                 parse_record(data, at)
             return at
@@ -154,12 +176,15 @@ def salvage(data: bytes) -> Iterator[tuple[int, int, Record | None, str | None]]
     while at < len(data):
         try:
             if packed:
-                content, end = read_member(data, at)
-                if content:
-                    record = parse_record(content)
-                    if record.size != len(content):
-                        raise Problem("bytes after the record")
-                    yield at, end - at, record, None
+                content, end, problem = read_member(data, at)
+                found = list(records_of(content))
+                if problem:
+                    end = _next_valid(data, at, packed)
+                    while found and found[-1][0] is None:
+                        found.pop()
+                    found.append((None, problem))
+                for record, reason in found:
+                    yield at, end - at, record, reason
                 at = end
             else:
                 record = parse_record(data, at)
@@ -235,7 +260,7 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = True) ->
                 held = 0
                 for found in salvage(data.as_py()):
                     rows.append(fields(name, *found))
-                    held += found[1]
+                    held += found[1] if found[2] is None else found[2].size
                     if held > 1 << 22:
                         yield to_batch(rows)
                         rows, held = [], 0

@@ -49,3 +49,26 @@ def test_salvage():
         assert any(a <= starts[4] < b for a, b in gaps) and len(gaps) >= 2
         assert sum(x[1] for x in found) <= len(cut)
     assert list(salvage(b"")) == [] and [x[3] for x in salvage(b"nothing")] == ["gzip member"]
+
+
+def test_salvage_members_of_many_records():
+    records = [record(i, hashlib.sha256(bytes([i])).hexdigest().encode() * 50) for i in range(6)]
+
+    def ids(data):
+        return [x[2].headers["warc-record-id"][10:-1] for x in salvage(data) if x[2]]
+
+    def gaps(data):
+        return [x[3] for x in salvage(data) if x[3]]
+
+    whole = gzip.compress(b"".join(records), mtime=0)
+    assert ids(whole) == list("012345") and gaps(whole) == []
+    odd = gzip.compress(records[0] + b"junk" + records[1][:-9] + records[2] + records[3] + b"end", mtime=0)
+    assert ids(odd) == list("023") and gaps(odd) == ["version line", "version line"]
+    cut = whole[: len(whole) * 2 // 3]
+    assert ids(cut)[:2] == list("01") and gaps(cut) == ["cut gzip member"]
+    wrong = whole[:-8] + bytes(4) + whole[-4:]  # the checksum
+    assert ids(wrong + gzip.compress(records[5], mtime=0)) == list("0123455") and gaps(wrong) == ["gzip member"]
+    hurt = bytearray(whole)
+    hurt[len(whole) * 2 // 3] ^= 0xFF
+    assert ids(bytes(hurt))[:2] == list("01") and gaps(bytes(hurt))[-1] == "gzip member"
+    assert ids(cut + bytes(hurt) + whole)[-6:] == list("012345") and len(ids(cut + bytes(hurt) + whole)) >= 10
