@@ -10,18 +10,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patronscope.llm import language, oracle, toxicity
+from patronscope.llm.alignment import align_corpus
 from patronscope.llm.bpe import bpe_round_trip
 from patronscope.llm.common import documents, table
 from patronscope.llm.decontaminate import contaminated
+from patronscope.llm.packing import Limits, pack_documents
 from patronscope.llm.quality import quality_rules
 from patronscope.llm.simhash import simhash_groups
 from patronscope.llm.substring_dedup import remove_repeated_windows
 from patronscope.llm.suffix_dedup import remove_repeats
 from patronscope.llm.token_counts import token_counts
 from patronscope.llm.warc import archive_table
+from patronscope.llm.whitening import whitened_rows
 from patronscope.session import scratch_path
 
 TOKEN_LIMIT = 512
+END_ID = 2
+SEQUENCE = Limits(tokens=1024, documents=1024, cost=1024 * 1024)
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,10 +98,39 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.where("problem is null").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``SEQUENCE`` limits attention cost and documents to what 1024 tokens can hold, so the token capacity decides."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    vocabulary = Path(public_tokenizers.path("byte_bpe_50k.json")).read_text()
+    packed = pack_documents(docs, vocabulary, public_tokenizers.PATTERN, END_ID, SEQUENCE)
+    return packed.select("row.doc_id", F.col("piece").cast("int").alias("piece"), "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, model = whitened_rows(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    each = rows.select("row.vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    n, explained, error = (model.n, model.explained.tolist(), model.identity_error) if model else (0, [], 0.0)
+    return each.select(
+        "vec_id", (F.col("at") + 1).cast("int").alias("component"), F.lit(n).cast("long").alias("n"), "deviation", "whitened",
+        F.get(F.array(*map(F.lit, explained)).cast("array<double>"), F.col("at")).alias("explained"),
+        F.lit(error).cast("double").alias("identity_error"),
+    )
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    vocabulary = Path(public_tokenizers.path("byte_bpe_50k.json")).read_text()
+    model = Path(public_tokenizers.path("piece_bpe_32k.model")).read_bytes()
+    scored, _ = align_corpus(docs, vocabulary, public_tokenizers.PATTERN, model)
+    return scored.select(
+        F.col("row.doc_id").cast("long").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_suffix_dedup, op2_substring_dedup, op3_token_counts, op4_quality_rules, op5_simhash, op6_bpe, op7_language,
-        op8_decontamination, op9_toxicity, op10_warc,
+        op8_decontamination, op9_toxicity, op10_warc, op11_packing, op12_whitening, op13_alignment,
     )
 }
 ORACLE: dict[str, str] = {
