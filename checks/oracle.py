@@ -265,9 +265,29 @@ def _labels(c, labels):
 
 
 def _log_rows() -> str:
-    rows = [("catalog", c, a, b) for c, labels in schema.STANDARD_LABELS.items() for a, b in labels.items()]
-    values = ", ".join(str(r) for r in rows)
-    return f'select * from (values {values}) v(dataset, "column", old_value, new_value)'
+    return " union all ".join(
+        f"""select 'catalog' as dataset, '{c}' as "column", '{a}' as old_value, '{b}' as new_value,
+        count(*) filter (lower({_strip(c)}) = '{a}') as rows from o_clean_names"""
+        for c, labels in schema.STANDARD_LABELS.items() for a, b in labels.items()
+    )
+
+
+def _contents(as_text: bool, changed: dict[tuple[str, str], str] | None = None) -> str:
+    """Known values and the sum of what they stand for. ``as_text``: only declared columns are typed, others are text."""
+    parts = []
+    for t, cols in LAYOUT.items():
+        typed = [*schema.TIMESTAMP_COLUMNS.get(t, []), *schema.INTEGER_COLUMNS.get(t, []), *schema.DOUBLE_COLUMNS.get(t, [])]
+        for c, k in cols:
+            x = (changed or {}).get((t, c), c)
+            if k == "string" or (as_text and c not in typed):
+                value = f"cast('0x' || substr(md5(cast({x} as varchar)), 1, 8) as bigint)"
+            elif k.startswith("timestamp"):
+                value = f"epoch_us({x})"
+            else:
+                value = f"round(cast({x} as double) * 10000)"
+            parts.append(f"""select '{t}' as dataset, '{c}' as "column", count({x}) as known,
+                cast(sum(cast({value} as decimal(28,0))) as varchar) as total from {TABLES[t]}""")
+    return " union all ".join(parts)
 
 
 def _text(c):
@@ -304,6 +324,13 @@ RANKED = ", ".join(
 
 SQL = {
     "io1_csv_load": _shapes(),
+    "io1_csv_contents": _contents(True),
+    "io1_quoted_csv": """select review_id, order_id, case when review_id % 3 = 0 then 'a "quoted"' || chr(10) || 'line, ' || review_comment_message
+        || chr(10) || chr(10) || '"end"' end as review_comment_message, review_score from fx_order_reviews""",
+    "io5_clean_contents": _contents(False),
+    "io6_observed_audits": "select 'missing' as audit, dataset, \"column\" as name, count as n from (" + _nulls() + ") union all "
+    + f"select 'rule', '', rule, invalid_count from ({_rules(*range(len(RULES)))})",
+    "cl9_dirty_flow": _contents(True, {("orders", "order_status"): "(case when order_id % 7 <> 0 then order_status end)"}),
     "io2_missing_tables": """select count(*) as orders,
         'category_name_translation,customers,geolocation,order_items,order_payments,order_reviews,products,sellers' as missing,
         true as fails_if_empty from fx_orders""",
@@ -313,7 +340,7 @@ SQL = {
     "io6_audit_sink": f"""select 'missing_values_audit' as "table", {sum(map(len, LAYOUT.values()))} as rows union all
         select 'exact_duplicates_audit', 9 union all select 'duplicate_order_ids', 1 union all
         select 'hidden_nulls_audit', count(*) from ({_hidden()}) where dataset <> 'catalog' union all
-        select 'text_label_mapping_log', 0 union all select 'business_rule_validation', 9""",
+        select 'text_label_mapping_log', 0 union all select 'business_rule_validation', 9 union all select 'type_log', 0""",
     "io7_feature_sink": """select count(*) as rows, cast(sum(frequency) as bigint) as orders, count(preferred_category) as with_category,
         17 as columns from o_features""",
     "io8_profile_sink": "select segment, customers, segment_name from o_named",
@@ -348,6 +375,11 @@ SQL = {
     "cl6_timestamps": f"""select order_id, case when order_id % 3 <> 0 then {_text('order_purchase_timestamp')} end as purchased,
         {_text('order_delivered_customer_date')} as delivered from fx_orders""",
     "cl7_numbers": "select order_id, order_item_id, case when order_id % 3 <> 0 then price end as price, freight_value from fx_order_items",
+    "s9_column_types": """select 'orders' as dataset, order_id as id, cast(case order_id % 4 when 0 then epoch_us(date_trunc('day', order_purchase_timestamp))
+          when 2 then epoch_us(order_purchase_timestamp) + 250000 else epoch_us(order_purchase_timestamp) end as double) as a,
+          cast(epoch_us(date_trunc('day', order_estimated_delivery_date)) as double) as b from fx_orders
+        union all select 'order_items', order_id, order_item_id + case when order_id % 5 = 0 then 0.5 else 0 end, null from fx_order_items
+        union all select 'order_reviews', order_id, 3000000000 + review_score, null from fx_order_reviews""",
     "cl8_categories": "select order_status, count(*) as n from fx_orders group by 1",
     "cl9_cleaning_flow": _nulls(),
     "cl10_dated_orders": "select order_id, order_status from fx_orders where order_delivered_customer_date is not null",
@@ -433,6 +465,16 @@ SQL = {
         members as (select id, cluster from o_reach union all select id, cluster from border)
         select customer_unique_id, cast(coalesce(label, -1) as int) as label from o_scaled
         left join (select id, dense_rank() over (order by cluster) - 1 as label from members) m on m.id = customer_unique_id""",
+    "ml7_few_pivots": """with border as (
+          select p.a as id, min(r.cluster) as cluster from o_eps_pairs p join o_reach r on r.id = p.b
+          where p.a not in (select id from o_core) group by 1),
+        members as (select id, cluster from o_reach union all select id, cluster from border)
+        select customer_unique_id, cast(coalesce(label, -1) as int) as label from o_scaled
+        left join (select id, dense_rank() over (order by cluster) - 1 as label from members) m on m.id = customer_unique_id""",
+    "ml8_planted": """with g as (select order_id, order_id % 15 as g from fx_orders),
+        p as (select order_id, case when g < 5 then 0 when g < 9 then 1 when g < 12 then 2 when g < 14 then 3 else 4 end as place from g)
+        select order_id, cast(row as int) as label from p join
+          (select place, row_number() over (order by count(*) desc, place) - 1 as row from p group by 1) using (place)""",
     "ev1_silhouette": f"""with s as (select * from o_labeled {SIMPLE_SAMPLE.format(keys='customer_unique_id', seed=42, n=5000)}),
         sizes as (select label, count(*) as size from s group by 1),
         d as (select a.customer_unique_id as id, a.label as own, b.label as other, sum(sqrt({gap('a', 'b', Z)})) as total
@@ -473,6 +515,10 @@ CHART_TABLES = {
 SQL["ch20_all_tables"] = " union all ".join(
     f"""select '{t}' as "table", count(*) as rows from ({SQL[q]})""" for t, q in CHART_TABLES.items()
 )
+SQL["pl1_saved_run"] = f"""select *, 0 as computed from ({SQL["ch20_all_tables"]} union all select 'customers', count(*) from o_features
+    union all select 'labels', count(*) from o_features union all select 'segments', count(*) from o_features)"""
+SQL["pl1_from_csv"] = """select customer_unique_id, recency, frequency, round(monetary, 6) as monetary, preferred_category,
+    round(avg_review_score, 6) as avg_review_score from o_features"""
 
 
 def oracle() -> dict[str, str]:

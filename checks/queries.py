@@ -13,6 +13,7 @@ from patronscope.functions import columns as fx
 from patronscope.functions.quantiles import exact_quantiles
 from patronscope.functions.sampling import fixed_sample
 from patronscope.operators import audit, charts, clean, cluster, density, evaluate, features, inspect, joins, prep, segments
+from patronscope.operators.ward import fit_ward
 from patronscope.plans import pipeline
 from patronscope.session import scratch_path, settle
 from patronscope.sources import catalog, sinks
@@ -77,6 +78,77 @@ def io1_csv_load(spark, folder):
     return inspect.shapes(catalog.load_csv_tables(spark, _as_csv(spark, folder)).tables)
 
 
+def contents(tables: dict[str, DataFrame]) -> DataFrame:
+    """(dataset, column, known, total): rows with a value, and the sum of what each value stands for: digits of its
+    digest, ten-thousandths, or microseconds."""
+    frames = []
+    for name, df in tables.items():
+        entries, sums = [], []
+        for i, (c, kind) in enumerate(df.dtypes):
+            if kind == "string":
+                value = F.conv(F.substring(F.md5(c), 1, 8), 16, 10)
+            elif kind.startswith("timestamp"):
+                value = F.unix_micros(F.col(c).cast("timestamp"))
+            else:
+                value = F.round(F.col(c).cast("double") * 10_000)
+            sums += [F.count(c).alias(f"n{i}"), F.sum(value.cast("decimal(28,0)")).alias(f"s{i}")]
+            entries.append(F.struct(F.lit(name).alias("dataset"), F.lit(c).alias("column"), F.col(f"n{i}").alias("known"),
+                                    F.col(f"s{i}").cast("string").alias("total")))
+        frames.append(df.agg(*sums).select(F.inline(F.array(*entries))))
+    return fx.union_all(frames)
+
+
+@query
+def io1_csv_contents(spark, folder):
+    """All tables through CSV and back, read as text and typed."""
+    loaded = catalog.load_csv_tables(spark, _as_csv(spark, folder)).tables
+    return contents(clean.clean_tables(loaded).tables)
+
+
+@query
+def io1_quoted_csv(spark, folder):
+    """Reviews with line breaks, quotes and commas inside quotes, in one file that many tasks read."""
+    reviews = _tables(spark, folder, "order_reviews")["order_reviews"]
+    text = F.when(F.col("review_id") % 3 == 0, F.concat(F.lit('a "quoted"\nline, '), F.col("review_comment_message"), F.lit('\n\n"end"')))
+    table = reviews.select("review_id", "order_id", text.alias("review_comment_message"), "review_score")
+    path = sinks.write_table(table.coalesce(1), scratch_path(spark, "quoted"), "csv")
+    size, short = "spark.sql.files.maxPartitionBytes", "4k"
+    before = spark.conf.get(size)
+    spark.conf.set(size, short)  # many blocks also for a small file
+    try:
+        back = settle(catalog.read_csv(spark, [path], multiline=True))
+    finally:
+        spark.conf.set(size, before)
+    return back.select(
+        F.col("review_id").cast("long").alias("review_id"), F.col("order_id").cast("long").alias("order_id"),
+        "review_comment_message", F.col("review_score").cast("int").alias("review_score"),
+    )
+
+
+@query
+def io5_clean_contents(spark, folder):
+    """The cleaned tables as written, with the audits counted on the way."""
+    return contents(clean.clean_and_write(_tables(spark, folder), scratch_path(spark, "clean")).tables)
+
+
+@query
+def io6_observed_audits(spark, folder):
+    """Audits that are counted while the tables are written."""
+    audits = clean.clean_and_write(_tables(spark, folder), scratch_path(spark, "clean")).audits
+    missing = audits["missing_values_audit"].select(F.lit("missing").alias("audit"), "dataset", F.col("column").alias("name"), F.col("count").alias("n"))
+    rules = audits["business_rule_validation"].select(F.lit("rule"), F.lit(""), "rule", "invalid_count")
+    return missing.union(rules)
+
+
+@query
+def cl9_dirty_flow(spark, folder):
+    """Untidy names, tokens, labels and texts of dates and numbers through the whole flow."""
+    tables = {n: _as_text(df) for n, df in _tables(spark, folder).items()}
+    mess = F.when(F.col("order_id").cast("long") % 7 == 0, F.lit(" N/A ")).otherwise(F.concat(F.lit("  "), F.upper("order_status")))
+    tables["orders"] = tables["orders"].withColumn("order_status", mess).withColumnRenamed("order_status", " Order Status ")
+    return contents(clean.clean_and_write(tables, scratch_path(spark, "clean")).tables)
+
+
 @query
 def io2_missing_tables(spark, folder):
     """A partly missing set is loaded and the absent tables are named."""
@@ -247,7 +319,41 @@ def cl4_labels(spark, folder):
 
 @query
 def cl5_label_log(spark, folder):
-    return clean.label_log(spark, _labeled_catalog(spark, folder))
+    named = clean.lower_text(clean.strip_text(clean.rename_columns(adapter.dirty(spark, folder))))
+    return clean.label_log(spark, named)
+
+
+@query
+def s9_column_types(spark, folder):
+    """Dates with and without a time, with ``T`` and with fractions, whole numbers beyond 32 bits and fractions: all are read."""
+    t = _tables(spark, folder, "orders", "order_items", "order_reviews")
+    at = F.col("order_purchase_timestamp")
+    iso = F.date_format(at, "yyyy-MM-dd HH:mm:ss")
+    kind = F.pmod(F.col("order_id"), F.lit(4))
+    orders = t["orders"].select(
+        F.col("order_id").cast("string").alias("order_id"),
+        F.when(kind == 0, F.date_format(at, "yyyy-MM-dd")).when(kind == 1, F.replace(iso, F.lit(" "), F.lit("T")))
+        .when(kind == 2, F.concat(iso, F.lit(".25"))).otherwise(iso).alias("order_purchase_timestamp"),
+        F.date_format("order_estimated_delivery_date", "dd/MM/yyyy").alias("order_estimated_delivery_date"),
+    )
+    number = F.col("order_item_id").cast("string")
+    items = t["order_items"].select(
+        F.col("order_id").cast("string").alias("order_id"),
+        F.when(F.col("order_id") % 5 == 0, F.concat(number, F.lit(".5"))).otherwise(F.concat(number, F.lit(".0"))).alias("order_item_id"),
+    )
+    reviews = t["order_reviews"].select(
+        F.col("order_id").cast("string").alias("order_id"), F.concat(F.lit("300000000"), F.col("review_score").cast("string")).alias("review_score")
+    )
+    typed = clean.fix_types({"orders": orders, "order_items": items, "order_reviews": reviews})
+    frames = [
+        typed["orders"].select(
+            F.lit("orders").alias("dataset"), F.col("order_id").cast("long").alias("id"),
+            F.unix_micros(F.col("order_purchase_timestamp").cast("timestamp")).cast("double").alias("a"),
+            F.unix_micros(F.col("order_estimated_delivery_date").cast("timestamp")).cast("double").alias("b")),
+        typed["order_items"].select(F.lit("order_items"), F.col("order_id").cast("long"), F.col("order_item_id").cast("double"), F.lit(None).cast("double")),
+        typed["order_reviews"].select(F.lit("order_reviews"), F.col("order_id").cast("long"), F.col("review_score").cast("double"), F.lit(None).cast("double")),
+    ]
+    return frames[0].union(frames[1]).union(frames[2])
 
 
 def _as_text(df: DataFrame) -> DataFrame:
@@ -551,10 +657,11 @@ def s10_floor_days(spark, folder):
 
 @query
 def s12_quantiles(spark, folder):
-    """By the direct way and by the bounded search for large columns."""
+    """By the aggregate of Spark, which keeps all values in one task, and by the radix search."""
     items = _tables(spark, folder, "order_items")["order_items"]
     wanted = {"price": [0.25, 0.5, 0.99], "freight_value": [0.25, 0.5, 0.99]}
-    ways = {"direct": exact_quantiles(items, wanted), "search": exact_quantiles(items, wanted, direct_rows=100, accuracy=200)}
+    direct = items.agg(*[F.percentile(c, F.array(*map(F.lit, ps))).alias(c) for c, ps in wanted.items()]).first().asDict()
+    ways = {"direct": direct, "search": exact_quantiles(items, wanted)}
     values = [
         F.struct(F.lit(way).alias("way"), F.lit(c).alias("column"), F.lit(p).alias("p"), F.lit(v).alias("value"))
         for way, found in ways.items() for c, vs in found.items() for p, v in zip(wanted[c], vs)
@@ -632,11 +739,29 @@ def ml7_dbscan(spark, folder):
     return density.dbscan(_scaled(spark, folder), WHO, prep.SCALED)
 
 
+@query
+def ml7_few_pivots(spark, folder):
+    """With 16 pivots, so that most points are settled by the metric index."""
+    return density.dbscan(_scaled(spark, folder), WHO, prep.SCALED, pivots=16)
+
+
 @query
 def ml8_hierarchical(spark, folder):
-    scaled = _scaled(spark, folder)
-    tree = cluster.fit_tree(cluster.packed(scaled))
-    return cluster.tree_labels(tree, scaled).select(WHO, F.col("label").cast("int").alias("label"))
+    scaled = settle(_scaled(spark, folder))
+    return fit_ward(scaled, prep.SCALED).labels(scaled, cluster.DEFAULT_K).select(WHO, "label")
+
+
+@query
+def ml8_planted(spark, folder):
+    """Five groups of orders far apart, more different points than leaves; Ward linkage finds the groups."""
+    group = F.pmod(F.col("order_id"), F.lit(15))
+    places = F.when(group < 5, 0).when(group < 9, 1).when(group < 12, 2).when(group < 14, 3).otherwise(4)
+    orders = _tables(spark, folder, "orders")["orders"].select("order_id", places.alias("place"))
+    points = orders.select(
+        "order_id", (F.pmod(F.col("order_id") * 37, F.lit(1009)) / 1009 + F.col("place") * 40).alias("x"),
+        (F.pmod(F.col("order_id") * 101, F.lit(2003)) / 2003 - F.pmod(F.col("place"), F.lit(2)) * 60).alias("y"),
+    )
+    return fit_ward(points, ["x", "y"], leaves=500).labels(points, 5).select("order_id", "label")
 
 
 @query
@@ -709,5 +834,22 @@ def pr6_insights(spark, folder):
 @query
 def pl1_pipeline(spark, folder):
     """The whole run; named segments of the K-means clustering."""
-    result = pipeline.run(_tables(spark, folder), eda=False, feature_views=False)
+    result = pipeline.run(_tables(spark, folder), restarts=2)
     return result.profile.select("segment", "customers", "segment_name", "pct_of_customers", "pct_of_revenue")
+
+
+@query
+def pl1_saved_run(spark, folder):
+    """Everything that a run has written and that does not depend on a clustering, read back by a second run, which computes nothing."""
+    out = scratch_path(spark, "run")
+    pipeline.run(_tables(spark, folder), out, restarts=1, k_search=False)
+    again = pipeline.run(_tables(spark, folder), out, restarts=1, k_search=False)
+    frames = {**again.eda, **again.feature_views, "customers": again.features, "labels": again.labeled["hierarchical"], "segments": again.segments}
+    return charts.stacked_counts(frames).withColumn("computed", F.lit(len(again.computed)))
+
+
+@query
+def pl1_from_csv(spark, folder):
+    """From CSV files to the feature table of the run."""
+    result = pipeline.run_from_csv(spark, _as_csv(spark, folder), fmt="csv", eda=False, feature_views=False, k_search=False, restarts=1)
+    return rounded(result.features.select(F.col(WHO).cast("long").alias(WHO), "recency", "frequency", "monetary", "preferred_category", "avg_review_score"))

@@ -1,146 +1,126 @@
-"""Exact quantiles with linear interpolation at any row count."""
+"""Exact quantiles with linear interpolation at any row count.
+
+A double is read as a 64-bit code with the same order. The code of an order statistic is found digit by digit (radix selection,
+``DIGIT_BITS`` a pass): a pass counts the rows whose code begins with the digits found so far by their next digit, which are
+at most 2**DIGIT_BITS counts for each order statistic, and the counts name the next digit. Each count carries the
+smallest and the largest code behind it, so a search ends as soon as these are equal; four passes settle any column. All columns
+and quantiles share the passes. Counts are summed on the map side, and the driver gets one row for each order statistic.
+"""
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DIRECT_ROWS = 1_000_000
-SKETCH_ACCURACY = 10_000
+DIGIT_BITS = 16
+_DIGITS = 1 << DIGIT_BITS
+_LEVELS = 64 // DIGIT_BITS
+_SIGN = 1 << 63
 
 
 @dataclass
-class _Rank:
-    """Search state for one order statistic: it lies in the open interval (low, high)."""
-
-    column: str
-    rank: int
-    inside: int
-    below: int = 0
-    low: float | None = None
-    high: float | None = None
+class _Search:
+    """One order statistic: the digits found so far, and its rank among the rows that begin with them."""
+
+    column: int
+    p: float
+    upper: bool  # the higher of the two neighbors of the position
+    prefix: int = 0
+    rank: int | None = None
+    total: int = 0
     value: float | None = None
+    done: bool = False
+
+
+def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]]) -> dict[str, list[float | None]]:
+    """Quantiles per column, equal to ``percentile`` on the whole column; None without values.
 
-    def window(self):
-        c = F.col(self.column).cast("double")
-        kept = c.isNotNull()
-        if self.low is not None:
-            kept = kept & (c > self.low)
-        if self.high is not None:
-            kept = kept & (c < self.high)
-        return F.when(kept, c)
-
-
-def exact_quantiles(
-    df: DataFrame,
-    wanted: dict[str, list[float]],
-    direct_rows: int = DIRECT_ROWS,
-    accuracy: int = SKETCH_ACCURACY,
-) -> dict[str, list[float | None]]:
-    """Quantiles per column, equal to ``percentile`` on the whole column.
-
-    ``percentile`` keeps every distinct value of a column in one task, so it is used only
-    for columns with at most ``direct_rows`` values. Beyond that each needed order
-    statistic is enclosed between two sketch quantiles, the rows on both sides are
-    counted exactly, and the search goes on in the open interval between them, which
-    shrinks by about ``accuracy / 8`` per pass. Values repeated very often are hit as an
-    interval end and so settle at once.
+    Nulls do not count, NaN is the largest value. ``df`` is read up to four times.
     """
     columns = list(wanted)
-    if not columns:
-        return {}
-    counts = df.agg(*[F.count(c).alias(c) for c in columns]).first().asDict()
-    result: dict[str, list[float | None]] = {c: [None] * len(wanted[c]) for c in columns}
-
-    small = [c for c in columns if 0 < counts[c] <= direct_rows]
-    if small:
-        row = df.agg(
-            *[
-                F.percentile(F.col(c).cast("double"), F.array(*map(F.lit, wanted[c]))).alias(c)
-                for c in small
-            ]
-        ).first()
-        for c in small:
-            result[c] = list(row[c])
-
-    large = [c for c in columns if counts[c] > direct_rows]
-    if large:
-        ranks: dict[tuple[str, int], _Rank] = {}
-        for c in large:
-            for p in wanted[c]:
-                position = (counts[c] - 1) * p
-                for k in {math.floor(position), math.ceil(position)}:
-                    ranks.setdefault((c, k), _Rank(c, k, counts[c]))
-        _settle_ranks(df, list(ranks.values()), direct_rows, accuracy)
-        for c in large:
-            for i, p in enumerate(wanted[c]):
-                position = (counts[c] - 1) * p
-                k, k2 = math.floor(position), math.ceil(position)
-                lower, upper = ranks[c, k].value, ranks[c, k2].value
-                same = k == k2 or lower == upper
-                result[c][i] = lower if same else (k2 - position) * lower + (position - k) * upper
+    searches = [_Search(i, p, upper) for i, c in enumerate(columns) for p in wanted[c] for upper in (False, True)]
+    values = df.select(*[F.col(c).cast("double").alias(f"q{i}") for i, c in enumerate(columns)]) if columns else df
+    for level in range(_LEVELS):
+        pending = [s for s in searches if not s.done]
+        if not pending:
+            break
+        _next_digit(values, pending, level)
+    result: dict[str, list[float | None]] = {c: [] for c in columns}
+    for low, high in zip(searches[::2], searches[1::2], strict=True):
+        position = (low.total - 1) * low.p
+        k, k2 = math.floor(position), math.ceil(position)
+        same = low.value is None or k == k2 or low.value == high.value
+        result[columns[low.column]].append(low.value if same else (k2 - position) * low.value + (position - k) * high.value)
     return result
 
 
-def _settle_ranks(df: DataFrame, ranks: list[_Rank], direct_rows: int, accuracy: int) -> None:
-    while active := [r for r in ranks if r.value is None]:
-        few = [r for r in active if r.inside <= direct_rows]
-        if few:
-            # bounded: at most direct_rows values per order statistic
-            row = df.agg(
-                *[
-                    F.sort_array(F.collect_list(r.window()))[r.rank - r.below].alias(f"v{i}")
-                    for i, r in enumerate(few)
-                ]
-            ).first()
-            for i, r in enumerate(few):
-                r.value = row[i]
+def _next_digit(values: DataFrame, pending: list[_Search], level: int) -> None:
+    """Count by the digit of ``level`` and take it over into the searches."""
+    slots = sorted({(s.column, s.prefix) for s in pending})
+    shift = np.uint64(64 - DIGIT_BITS * (level + 1))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for column in sorted({c for c, _ in slots}):
+                codes = np.sort(_codes(batch.column(column)))
+                for slot, (c, prefix) in enumerate(slots):
+                    if c != column:
+                        continue
+                    low, high = prefix << int(shift) + DIGIT_BITS, (prefix + 1 << int(shift) + DIGIT_BITS) - 1
+                    own = codes[np.searchsorted(codes, np.uint64(low)) : np.searchsorted(codes, np.uint64(high), side="right")]
+                    digit, first, n = np.unique((own >> shift) & np.uint64(_DIGITS - 1), return_index=True, return_counts=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(n), slot, np.int32)), pa.array(digit.astype(np.int32)), pa.array(n),
+                         pa.array(_signed(own[first])), pa.array(_signed(own[first + n - 1]))],
+                        names=["slot", "digit", "n", "low", "high"],
+                    )
+
+    counted = values.mapInArrow(count, "slot int, digit int, n long, low long, high long")
+    summed = counted.groupBy("slot", "digit").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+    slot = Window.partitionBy("slot")
+    placed = summed.withColumns({"upto": F.sum("n").over(slot.orderBy("digit")), "total": F.sum("n").over(slot)})
+    asked = values.sparkSession.createDataFrame(
+        [(i, slots.index((s.column, s.prefix)), s.p, s.upper, s.rank) for i, s in enumerate(pending)],
+        "item int, slot int, p double, upper boolean, rank long",
+    )
+    position = (F.col("total") - 1) * F.col("p")
+    rank = F.coalesce("rank", F.when(F.col("upper"), F.ceil(position)).otherwise(F.floor(position)))
+    hits = (
+        placed.join(F.broadcast(asked), "slot").withColumn("rank", rank)  # two rows a quantile
+        .where((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n")))
+        .select("item", "digit", (F.col("rank") - F.col("upto") + F.col("n")).alias("rank"), "total", "low", "high")
+    )
+    found = {r["item"]: r for r in hits.collect()}
+    for i, s in enumerate(pending):
+        if i not in found:  # a column without values
+            s.done = True
             continue
-        sketch = df.agg(
-            *[
-                F.percentile_approx(
-                    r.window(),
-                    F.array(
-                        F.lit(max(0.0, (r.rank - r.below) / r.inside - 2 / accuracy)),
-                        F.lit(min(1.0, (r.rank - r.below + 1) / r.inside + 2 / accuracy)),
-                    ),
-                    F.lit(accuracy),
-                ).alias(f"s{i}")
-                for i, r in enumerate(active)
-            ]
-        ).first()
-        counted = df.agg(
-            *[
-                F.count_if(cond).alias(f"{name}{i}")
-                for i, r in enumerate(active)
-                for name, cond in _parts(r, *sketch[i])
-            ]
-        ).first()
-        for i, r in enumerate(active):
-            low, high = sketch[i]
-            less, at_low, middle, at_high = (counted[f"{n}{i}"] for n in ("less", "low", "mid", "high"))
-            k = r.rank - r.below
-            if k < less:
-                r.high, r.inside = low, less
-            elif k < less + at_low:
-                r.value = low
-            elif k < less + at_low + middle:
-                r.below += less + at_low
-                r.low, r.high, r.inside = low, high, middle
-            elif k < less + at_low + middle + at_high:
-                r.value = high
-            else:
-                r.inside -= less + at_low + middle + at_high
-                r.below += less + at_low + middle + at_high
-                r.low = high
-
-
-def _parts(r: _Rank, low: float, high: float):
-    c = r.window()
-    yield "less", c < low
-    yield "low", c == low
-    yield "mid", (c > low) & (c < high)
-    yield "high", (c == high) & (c > low)
+        r = found[i]
+        s.prefix, s.rank = s.prefix << DIGIT_BITS | r["digit"], r["rank"]
+        s.total = s.total or r["total"]
+        if r["low"] == r["high"]:
+            s.value, s.done = _decoded(r["low"]), True
+
+
+def _codes(column: pa.Array) -> np.ndarray:
+    """Unsigned codes in the order of the values; -0.0 is 0.0, and all NaN are one."""
+    x = column.drop_null().to_numpy() + 0.0
+    bits = np.where(np.isnan(x), np.nan, x).view(np.uint64)
+    return np.where(bits >> np.uint64(63), ~bits, bits | np.uint64(_SIGN))
+
+
+def _signed(codes: np.ndarray) -> np.ndarray:
+    """The codes as signed numbers of the same order."""
+    return (codes ^ np.uint64(_SIGN)).view(np.int64)
+
+
+def _decoded(signed: int) -> float:
+    code = np.array([signed], np.int64).view(np.uint64) ^ np.uint64(_SIGN)
+    bits = np.where(code >> np.uint64(63), code ^ np.uint64(_SIGN), ~code)
+    return float(bits.view(np.float64)[0])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -116,3 +116,33 @@ def business_rules(tables: Tables) -> DataFrame:
         ]
         frames.append(counted.select(F.inline(F.array(*entries))))
     return union_all(frames)
+
+
+# --- counts gathered while a table is written ---------------------------------------------
+
+
+def raw_counts(df: DataFrame) -> list[Column]:
+    """Nulls of every column and null tokens of every text column, named by their position."""
+    text = set(text_columns(df))
+    missing = [F.count_if(quoted(df, c).isNull()).alias(f"missing{i}") for i, c in enumerate(df.columns)]
+    return missing + [
+        F.count_if(quoted(df, c).isin(HIDDEN_NULL_TOKENS)).alias(f"hidden{i}") for i, c in enumerate(df.columns) if c in text
+    ]
+
+
+def rule_counts(table: str) -> list[Column]:
+    """Violations of the rules of a typed table."""
+    return [F.count_if(bad()).alias(f"rule{i}") for i, (_, t, bad) in enumerate(RULES) if t == table]
+
+
+def from_counts(spark: SparkSession, tables: Tables, counted: dict[str, dict]) -> dict[str, DataFrame]:
+    """The audits of missing values and hidden nulls and the rule report from the counts above, by table."""
+    columns = [(n, i, c, counted[n]) for n, df in tables.items() for i, c in enumerate(df.columns)]
+    missing = [(n, c, m[f"missing{i}"], m[f"missing{i}"] / m["rows"] * 100 if m["rows"] else None) for n, i, c, m in columns]
+    hidden = [(n, c, m[f"hidden{i}"]) for n, i, c, m in columns if m.get(f"hidden{i}")]
+    rules = [(i, rule, counted[t][f"rule{i}"]) for i, (rule, t, _) in enumerate(RULES)]
+    return {
+        "missing_values_audit": spark.createDataFrame(missing, "dataset string, column string, count long, percentage double"),
+        "hidden_nulls_audit": spark.createDataFrame(hidden, "dataset string, column string, hidden_null_count long"),
+        "business_rule_validation": spark.createDataFrame(rules, "position int, rule string, invalid_count long"),
+    }

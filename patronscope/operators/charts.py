@@ -5,8 +5,8 @@ Counts are ordered by count descending, then value ascending. Nulls are not coun
 
 from __future__ import annotations
 
-from itertools import combinations_with_replacement
-
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,6 +21,10 @@ BINS = 40
 TOP = 10
 SCATTER_ROWS = 3_000
 SCATTER_SEED = 1
+#: Rows, sums and squares of the first and the second column and their products, over rows where both are known.
+PARTS = ["n", "x", "y", "xx", "yy", "xy"]
+#: A squared deviation below this part of the sum of squares is rounding: the column is constant.
+NO_SPREAD = 1e-12
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -40,13 +44,13 @@ def with_share(counts: DataFrame, scale: float = 1.0) -> DataFrame:
     return counts.withColumn("share", F.lit(scale) * F.col("n") / total)
 
 
-def histogram(df: DataFrame, column: str, bins: int = BINS) -> DataFrame:
+def histogram(df: DataFrame, column: str, bins: int = BINS, bounds: tuple | None = None) -> DataFrame:
     """Equal-width bins over [min, max], the last one closed; empty bins are listed.
 
-    If all values are equal everything falls into bin 0.
+    If all values are equal everything falls into bin 0. ``bounds`` are min and max where they are known.
     """
     spark = df.sparkSession
-    low, high = df.agg(F.min(column), F.max(column)).first()
+    low, high = bounds or df.agg(F.min(column), F.max(column)).first()
     if low is None:
         return spark.createDataFrame([], "bin long, bin_start double, bin_end double, n long")
     low, high = float(low), float(high)
@@ -72,8 +76,8 @@ def histogram(df: DataFrame, column: str, bins: int = BINS) -> DataFrame:
 
 
 def clipped_histogram(df: DataFrame, column: str, p: float = 0.99, bins: int = BINS) -> DataFrame:
-    upper = exact_quantiles(df, {column: [p]})[column][0]
-    return histogram(df.select(clip(F.col(column), upper=upper).alias(column)), column, bins)
+    low, upper = exact_quantiles(df, {column: [0.0, p]})[column]
+    return histogram(df.select(clip(F.col(column), upper=upper).alias(column)), column, bins, (low, upper))
 
 
 # --- tables over the cleaned data -------------------------------------------------------
@@ -207,27 +211,32 @@ def eda_tables(tables: Tables) -> dict[str, DataFrame]:
 def correlations(features: DataFrame, columns: list[str] = NUMERIC_FEATURES) -> DataFrame:
     """(feature_x, feature_y, r) over rows where both are known; null for a constant.
 
-    Each row is spread to its pairs, which are summed up at once on the map side. One
-    aggregate with hundreds of functions is too large for generated code and took ten
-    times as long.
+    Every task adds up masked moment matrices of its rows (counts, sums, squares and cross products of each pair,
+    over rows where both are known), shifted by the column means. Only these matrices are shuffled.
     """
-    places = list(combinations_with_replacement(range(len(columns)), 2))
+    size = len(columns)
+    values = features.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(columns)])
+    means = values.agg(*[F.avg(c) for c in values.columns]).first()
+    origin = np.array([0.0 if m is None else m for m in means])
+
+    def moments(batches):
+        total = np.zeros((6, size, size))
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype(float)
+            known = np.column_stack([c.is_valid().to_numpy(zero_copy_only=False) for c in batch.columns]).astype(float)
+            x = np.where(known > 0, x - origin, 0.0)
+            total += np.stack([known.T @ known, x.T @ known, known.T @ x, (x * x).T @ known, known.T @ (x * x), x.T @ x])
+        at = np.indices((size, size)).reshape(2, -1)
+        yield pa.RecordBatch.from_arrays([*map(pa.array, at.astype(np.int32)), *map(pa.array, total.reshape(6, -1))], ["i", "j", *PARTS])
+
+    parts = values.mapInArrow(moments, "i int, j int, " + ", ".join(f"{p} double" for p in PARTS))
+    m = {p: F.col(p) for p in PARTS}
+    left, right = m["xx"] - m["x"] * m["x"] / m["n"], m["yy"] - m["y"] * m["y"] / m["n"]
+    varied = (m["n"] > 0) & (left > m["xx"] * NO_SPREAD) & (right > m["yy"] * NO_SPREAD)
+    r = F.when(varied, (m["xy"] - m["x"] * m["y"] / m["n"]) / F.sqrt(left * right))
     names = F.array(*[F.lit(c) for c in columns])
-    pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in places])
-    values = F.array(*[F.col(c).cast("double") for c in columns])
-    spread = features.select(values.alias("v"), F.explode(pairs).alias("p")).select(
-        "p.i", "p.j", F.get("v", F.col("p.i")).alias("a"), F.get("v", F.col("p.j")).alias("b")
-    )
-    a, b = F.when(F.col("b").isNotNull(), F.col("a")), F.when(F.col("a").isNotNull(), F.col("b"))
-    # corr() raises on a constant column in ANSI mode, so the parts are divided here
-    r = F.try_divide(F.covar_pop("a", "b"), F.stddev_pop(a) * F.stddev_pop(b))
-    found = spread.groupBy("i", "j").agg(r.alias("r"))
-    both_ways = F.when(F.col("i") == F.col("j"), F.array(F.struct("i", "j"))).otherwise(
-        F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j")))
-    )
-    return found.select(F.explode(both_ways).alias("p"), "r").select(
-        F.get(names, F.col("p.i")).alias("feature_x"), F.get(names, F.col("p.j")).alias("feature_y"), "r"
-    )
+    summed = parts.groupBy("i", "j").agg(*[F.sum(p).alias(p) for p in PARTS])
+    return summed.select(F.get(names, F.col("i")).alias("feature_x"), F.get(names, F.col("j")).alias("feature_y"), r.alias("r"))
 
 
 def monetary_histogram(features: DataFrame) -> DataFrame:

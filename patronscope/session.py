@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,21 +53,37 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-_settled: list[str] = []
+_settled: dict[str | None, list[str]] = {}
+_scope: ContextVar[str | None] = ContextVar("scope", default=None)
 
 
 def settle(df: DataFrame, name: str = "settled") -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back; its lineage ends there."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    _settled.append(path)
+    _settled.setdefault(_scope.get(), []).append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Free what ``settle`` has written so far; call it once results that read it are written.
+def current_scope() -> str | None:
+    return _scope.get()
+
+
+@contextmanager
+def scope(name: str) -> Iterator[None]:
+    """Tables that ``settle`` writes inside belong to ``name``; ``release`` frees them and no others."""
+    token = _scope.set(name)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+
+
+def release(spark: SparkSession, name: str | None = None) -> None:
+    """Free what ``settle`` has written in a scope, by default outside of any; call it once results that read it are written.
 
     The paths are overwritten with no rows, so this works on any storage that Spark writes to.
     """
-    while _settled:
-        spark.range(0).write.mode("overwrite").parquet(_settled.pop())
+    paths = _settled.get(name, [])
+    while paths:
+        spark.range(0).write.mode("overwrite").parquet(paths.pop())

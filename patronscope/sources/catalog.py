@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from patronscope import schema
 from patronscope.functions.columns import null_if_in
+from patronscope.sources.csv_blocks import read_quoted_csv
 
 Tables = dict[str, DataFrame]
 
@@ -22,11 +23,11 @@ class Catalog:
     missing: dict[str, str]
 
 
-def csv_pattern(table: str) -> str:
-    """File name pattern of a table; any prefix is allowed before ``<table>_dataset.csv``."""
+def csv_pattern(table: str, prefix: str = "*") -> str:
+    """File name pattern of a table: ``<prefix><table>_dataset.csv``, by default with any prefix."""
     if table == "category_name_translation":
         return schema.TRANSLATION_FILE
-    return f"*{table}_dataset.csv"
+    return f"{prefix}{table}_dataset.csv"
 
 
 def _matches(spark: SparkSession, pattern: str) -> list[str]:
@@ -36,19 +37,21 @@ def _matches(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(str(s.getPath()) for s in (fs.globStatus(path) or []))
 
 
-def load_csv_tables(spark: SparkSession, folder: str, names: list[str] | None = None) -> Catalog:
+def load_csv_tables(spark: SparkSession, folder: str, names: list[str] | None = None, prefix: str = "*") -> Catalog:
     """Read the named tables; every column is text, null tokens become null.
 
     A match may be a file or a folder of part files. Missing tables are reported, and it
-    is an error only if none is there.
+    is an error only if none is there. Two exports of a table side by side are an error; ``prefix`` names the one to read.
     """
     tables, missing = {}, {}
     for name in names or schema.TABLES:
-        pattern = f"{folder.rstrip('/')}/{csv_pattern(name)}"
+        pattern = f"{folder.rstrip('/')}/{csv_pattern(name, prefix)}"
         paths = _matches(spark, pattern)
         if not paths:
             missing[name] = pattern
             continue
+        if len(paths) > 1:
+            raise ValueError(f"{name}: several files match {pattern}: {', '.join(paths)}")
         tables[name] = read_csv(spark, paths, multiline=name in schema.MULTILINE_TABLES)
     if not tables:
         raise FileNotFoundError(f"no input table found in {folder}")
@@ -56,19 +59,10 @@ def load_csv_tables(spark: SparkSession, folder: str, names: list[str] | None =
 
 
 def read_csv(spark: SparkSession, paths: list[str], multiline: bool = False) -> DataFrame:
-    """CSV with header; quotes are doubled inside quoted fields.
-
-    ``multiline`` keeps quoted line breaks but makes each file one task, so large tables
-    that need it should come as many files.
-    """
-    df = (
-        spark.read.option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", multiline)
-        .csv(paths)
-    )
-    return drop_null_tokens(df)
+    """CSV with header; quotes are doubled inside quoted fields. With ``multiline`` they may hold line breaks."""
+    if multiline:
+        return drop_null_tokens(read_quoted_csv(spark, paths))
+    return drop_null_tokens(spark.read.options(header=True, quote='"', escape='"').csv(paths))
 
 
 def drop_null_tokens(df: DataFrame, tokens: list[str] = schema.CSV_NULL_TOKENS) -> DataFrame:
@@ -78,17 +72,8 @@ def drop_null_tokens(df: DataFrame, tokens: list[str] = schema.CSV_NULL_TOKENS)
     )
 
 
-def load_parquet_tables(spark: SparkSession, folder: str, names: list[str] | None = None) -> Tables:
-    return {n: spark.read.parquet(f"{folder.rstrip('/')}/{n}") for n in names or schema.TABLES}
-
-
 def require(tables: Tables, *names: str) -> None:
     """Name the absent tables instead of failing later on a key."""
     absent = [n for n in names if n not in tables]
     if absent:
         raise KeyError(f"missing tables: {', '.join(absent)}")
-
-
-def register_views(tables: Tables) -> None:
-    for name, df in tables.items():
-        df.createOrReplaceTempView(name)

@@ -2,21 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> str:
-    writer = df.write.mode("overwrite")
+    options = {}
     if fmt == "csv":
-        # the writer would trim text by default; times are written as the loader reads them
-        writer = writer.options(
-            header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
-            timestampFormat="yyyy-MM-dd HH:mm:ss", timestampNTZFormat="yyyy-MM-dd HH:mm:ss",
-        )
-    writer.format(fmt).save(path)
+        # as text, times have the loader's form and a fraction of a second only where there is one
+        times = {f.name for f in df.schema if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))}
+        df = df.select(*[df[f"`{c}`"].cast("string").alias(c) if c in times else df[f"`{c}`"] for c in df.columns])
+        # the writer would trim text by default
+        options = dict(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    df.write.mode("overwrite").options(**options).format(fmt).save(path)
     return path
 
 
+def read_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
+    """A written table with the types it had."""
+    reader = spark.read.schema(schema)
+    if fmt == "csv":
+        reader = reader.options(header=True, escape='"', multiLine=True)
+    return reader.format(fmt).load(path)
+
+
 def write_tables(tables: dict[str, DataFrame], folder: str, suffix: str = "", fmt: str = "parquet") -> dict[str, str]:
     return {
         name: write_table(df, f"{folder.rstrip('/')}/{name}{suffix}", fmt)

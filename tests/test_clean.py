@@ -6,7 +6,7 @@ import pytest
 
 from patronscope.functions import columns as fx
 from patronscope.operators import audit, clean, inspect
-from patronscope.sources import catalog, sinks
+from patronscope.sources import catalog, csv_blocks, sinks
 from pyspark.sql import functions as F
 
 
@@ -52,9 +52,10 @@ def test_labels_and_log(spark):
     df = spark.createDataFrame([("online", "y"), ("phone", "no"), (None, "yes")], "channel string, returned string")
     out = clean.standardize_labels({"t": df, "u": spark.range(1)})
     assert [tuple(r) for r in out["t"].collect()] == [("Online", "Yes"), ("phone", "No"), (None, "Yes")]
-    assert clean.label_log(spark, out).count() == 7
+    log = {(r.column, r.old_value): r.rows for r in clean.label_log(spark, {"t": df, "u": spark.range(1)}).collect()}
+    assert len(log) == 7 and {k for k, n in log.items() if n == 1} == {("channel", "online"), ("returned", "y"), ("returned", "no"), ("returned", "yes")}
     empty = clean.label_log(spark, {"u": spark.range(1)})
-    assert empty.count() == 0 and empty.columns == ["dataset", "column", "old_value", "new_value"]
+    assert empty.count() == 0 and empty.columns == ["dataset", "column", "old_value", "new_value", "rows"]
 
 
 def test_types(spark):
@@ -67,8 +68,86 @@ def test_types(spark):
     )
     out = clean.fix_types({"orders": orders, "order_items": items})
     assert [r[1] is not None for r in out["orders"].collect()] == [True, False, False, False]
-    assert [tuple(r) for r in out["order_items"].collect()] == [(1, 58.9), (2, None), (None, 100.0), (None, None)]
-    assert dict(out["order_items"].dtypes) == {"order_item_id": "int", "price": "double"}
+    assert [tuple(r) for r in out["order_items"].collect()] == [(1, 58.9), (2, None), (2.5, 100.0), (None, None)]
+    assert dict(out["order_items"].dtypes) == {"order_item_id": "double", "price": "double"}
+
+
+def test_types_follow_the_votes(spark):
+    def types_of(column, values, table="order_items"):
+        df = spark.createDataFrame([(v,) for v in values], f"{column} string")
+        found = clean.infer_types({table: df})[table, column]
+        return found, [r[0] for r in clean.fix_types({table: df})[table].collect()]
+
+    whole, got = types_of("order_item_id", ["1", "2.0", " x", None, "-3"])
+    assert (whole.kind, whole.texts, whole.lost, got) == ("int", 4, 1, [1, 2, None, None, -3])
+    assert types_of("order_item_id", ["3000000000", "1"])[1] == [3000000000, 1]
+    assert types_of("order_item_id", ["9007199254740993", "1e3"])[1] == [9007199254740993, 1000]
+    mixed, got = types_of("order_item_id", ["1", "2.5", "1e30"])
+    assert (mixed.kind, got) == ("double", [1.0, 2.5, 1e30])
+    assert types_of("order_item_id", [None, None])[0].kind == "int"
+
+    def dates(values):
+        found, got = types_of("shipping_limit_date", values)
+        return found, [str(v) if v else None for v in got]
+
+    iso, got = dates(["2020-01-02", "2020-01-02t03:04", "2020-01-02 03:04:05.25", "2020-02-30", "02/01/2020", None])
+    assert (iso.notation, iso.lost) == ("iso", 2)
+    assert got == ["2020-01-02 00:00:00", "2020-01-02 03:04:00", "2020-01-02 03:04:05.250000", None, None, None]
+    assert dates(["01/02/2020", "13/02/2020 10:00"])[1] == ["2020-02-01 00:00:00", "2020-02-13 10:00:00"]
+    assert dates(["01/02/2020", "02/13/2020"])[1] == ["2020-01-02 00:00:00", "2020-02-13 00:00:00"]
+    assert dates(["2020/01/02", "x"])[0].lost == 1
+
+
+def test_written_tables_have_the_audits_of_the_lazy_flow(spark, folder):
+    from checks import adapter
+
+    raw = adapter.tables(spark, "/root/testdata/sf0.001")
+    raw["orders"] = raw["orders"].select(*[F.col(c).cast("string").alias(c) for c in raw["orders"].columns]).withColumns(
+        {"channel": F.expr("case when order_id % 2 = 0 then ' ONLINE' else 'N/A' end"), "note": F.lit("-")})
+    lazy, eager = clean.clean_tables(raw), clean.clean_and_write(raw, folder, fmt="csv")
+    for name, df in lazy.audits.items():
+        got, want = ({tuple(r) for r in x.select(*sorted(df.columns)).collect()} for x in (eager.audits[name], df))
+        assert got == want, name
+    for name, df in lazy.tables.items():
+        assert eager.tables[name].dtypes == df.dtypes
+        assert eager.tables[name].exceptAll(df).count() == 0 == df.exceptAll(eager.tables[name]).count(), name
+
+
+def test_quoted_csv_in_blocks(spark, folder):
+    """Any cut of the file into blocks gives the records of a plain reader."""
+    import csv
+    import random
+
+    chance = random.Random(2)
+    parts = ["a", ",", "\n", "\r\n", '"', "\n\n", "long text " * 4, "", " ", "é"]
+    rows = [[str(i), "".join(chance.choices(parts, k=chance.randint(0, 6))), chance.choice(["x", "", "y z"])] for i in range(400)]
+    rows[200][1] = "\n" * 3000  # covers several blocks
+    os.mkdir(os.path.join(folder, "t"))
+    for i, (low, high) in enumerate([(0, 300), (300, 400)]):
+        with open(os.path.join(folder, "t", f"part{i}.csv"), "w", encoding="utf-8", newline="") as f:
+            out = csv.writer(f, lineterminator="\r\n" if i else "\n")
+            out.writerows([["id", "some text", "c"], *rows[low:high]])
+    want = sorted((i, t or None, c or None) for i, t, c in rows)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("100", "357", "4096", "100000"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            df = csv_blocks.read_quoted_csv(spark, [os.path.join(folder, "t")])
+            assert df.columns == ["id", "some text", "c"]
+            assert sorted((tuple(r) for r in df.collect()), key=lambda r: r[0]) == want, size
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    write(folder, "open.csv", 'a,b\n1,"x\n2,y\n')
+    with pytest.raises(ValueError, match="inside quotes"):
+        csv_blocks.read_quoted_csv(spark, [os.path.join(folder, "open.csv")])
+
+
+def test_two_exports_of_a_table(spark, folder):
+    for name in ("a_orders_dataset.csv", "b_orders_dataset.csv"):
+        write(folder, name, f"order_id\n{name[0]}\n")
+    with pytest.raises(ValueError, match="several files"):
+        catalog.load_csv_tables(spark, folder)
+    assert [r[0] for r in catalog.load_csv_tables(spark, folder, prefix="b_").tables["orders"].collect()] == ["b"]
 
 
 def test_missing_review_score_is_a_violation(spark):

@@ -178,12 +178,25 @@ def test_quantile_search(spark, seed):
     values = np.concatenate([rng.lognormal(3, 2, 3000), np.full(2000, 7.0), -rng.integers(0, 5, 1000)])
     df = spark.createDataFrame([(float(v), float(i % 11)) for i, v in enumerate(values)] + [(None, None)], "v double, w double")
     wanted = {"v": [0.0, 0.01, 0.25, 0.5, 0.99, 1.0], "w": [0.5, 0.999]}
-    got = exact_quantiles(df.repartition(5), wanted, direct_rows=20, accuracy=50)
+    got = exact_quantiles(df.repartition(5), wanted)
     assert got["v"] == pytest.approx(list(np.quantile(values, wanted["v"])), rel=1e-12)
     assert got["w"] == pytest.approx(list(np.quantile([i % 11 for i in range(len(values))], wanted["w"])))
     assert exact_quantiles(df.where("v is null"), {"v": [0.5]}) == {"v": [None]}
 
 
+def test_quantiles_of_odd_values(spark):
+    inf, nan = float("inf"), float("nan")
+    values = [-0.0, 0.0, 5e-324, -5e-324, 1.5, -1.5, inf, -inf, 1e308, -1e308, 2.0**53, 2.0**53 + 2, nan]
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "v double, n int").repartition(3)
+    places = [i / (len(values) - 1) for i in range(len(values))]
+    got = exact_quantiles(df, {"v": places, "n": [0.5]})
+    assert [repr(v) for v in got["v"][:-1]] == [repr(v + 0.0) for v in sorted(values[:-1])] and np.isnan(got["v"][-1])
+    assert got["n"] == [6.0] and exact_quantiles(df, {}) == {}
+    near = [1.0 + i * 2.0**-52 for i in range(300)]  # differ in the last digit only
+    close = spark.createDataFrame([(v,) for v in near], "v double")
+    assert exact_quantiles(close, {"v": [0.0, 0.5, 1.0]})["v"] == [near[0], (near[149] + near[150]) / 2, near[-1]]
+
+
 def test_plan_reads_only_needed_columns(spark):
     t = adapter.tables(spark, "/root/testdata/sf0.001")
     plan = features.customer_features(t)._jdf.queryExecution().executedPlan().toString()
