@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import pickle
 import sys
 import types
+import uuid
 from collections.abc import Callable
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -61,3 +64,19 @@ def worker_cache(name: str) -> dict:
     """A dictionary that outlives the task in this Python worker."""
     home = sys.modules.setdefault("_worker_cache", types.ModuleType("_worker_cache"))
     return home.__dict__.setdefault(name, {})
+
+
+class Shared:
+    """A broadcast value of any class of this package. Its classes travel with it, so executors need no copy of the
+    package; a worker keeps the value it read last under each name."""
+
+    def __init__(self, spark: SparkSession, name: str, value):
+        self.name, self.key = name, uuid.uuid4().hex
+        self.packed = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    @property
+    def value(self):
+        home = worker_cache("shared")
+        if home.get(self.name, (None,))[0] != self.key:
+            home[self.name] = self.key, pickle.loads(self.packed.value)
+        return home[self.name][1]

@@ -16,7 +16,8 @@ that must be intact and ``most`` all, t at least are. The counts only decide whi
 
 Defined cases: null texts have no words; items without words match nothing; an item of one word is
 one seed; repeated items and documents give repeated rows; a document that holds an item more than once gives its best
-passage; null ids are carried; without documents or items the result is empty.
+passage; null ids are carried, ids keep their type; very long texts are searched whole; without documents or items the result is empty; other columns are
+left out, or stay inside ``row``, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -30,9 +31,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType, LongType, StructField, StructType
 
-from patronscope.llm.common import packed_rows, values_of
+from patronscope.llm.common import Shared, packed_rows, values_of
 
 MIN_SCORE = 0.5
 #: ``bounds`` relies on these costs.
@@ -204,17 +206,17 @@ def contaminated(
     With ``mark`` (row, hits) for every document instead: its columns and how many items it holds.
     """
     rows = packed_rows(docs, text, keep_text=mark)
-    sc = docs.sparkSession.sparkContext
+    spark, kind = docs.sparkSession, benchmark.schema[item_col].dataType
     result = None
     for block in _blocks(benchmark, item_col, item_text, block_bytes):
         items = prepare([r["text"] for r in block])
-        shared = sc.broadcast(items)
+        shared = Shared(spark, "items", items)
         seeds = choose_seeds(items, _mark_counts(packed_rows(docs, text).select("data"), shared), min_score)
-        plan = sc.broadcast((seeds, [r["item"] for r in block]))
+        plan = Shared(spark, "seeds", (seeds, [r["item"] for r in block]))
         if mark:
             found = _marked(rows if result is None else result, shared, plan, min_score, text)
         else:
-            found = _pairs(rows.select(F.col(f"row.`{id_col}`").alias("id"), "data"), shared, plan, min_score)
+            found = _pairs(rows.select(F.col(f"row.`{id_col}`").alias("id"), "data"), shared, plan, min_score, kind)
             found = found if result is None else result.unionByName(found)
         result = found
     return result
@@ -249,7 +251,7 @@ def _search(shared, plan, min_score: float):
     return search
 
 
-def _pairs(rows: DataFrame, shared, plan, min_score: float) -> DataFrame:
+def _pairs(rows: DataFrame, shared, plan, min_score: float, kind: DataType) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         search, names = _search(shared, plan, min_score), plan.value[1]
         for batch in batches:
@@ -263,9 +265,8 @@ def _pairs(rows: DataFrame, shared, plan, min_score: float) -> DataFrame:
                     [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["id", "item", "score", "first_word", "end_word"]
                 )
 
-    item_type = pa.string() if any(isinstance(x, str) for x in plan.value[1]) else pa.int64()
-    kind = "string" if item_type == pa.string() else "long"
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, item {kind}, score double, first_word long, end_word long")
+    item_type = to_arrow_type(kind)
+    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, item {kind.simpleString()}, score double, first_word long, end_word long")
 
 
 def _marked(rows: DataFrame, shared, plan, min_score: float, text: str) -> DataFrame:

@@ -15,7 +15,8 @@ A language with fewer texts than its part is taken whole, and the others get the
 Defined cases: a null or empty page has no text evidence, so the other evidence and the prior decide; a null or
 odd address has the empty host; ties go to the language first in alphabetical order; an empty
 table gives an empty result; repeated rows are judged one by one; without labelled documents there is
-no language and the result is null.
+no language and the result is null; very long pages are judged whole, in time linear in their length; input columns pass through inside
+``row``, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType
 
-from patronscope.llm.common import packed_rows, schema_with
+from patronscope.llm.common import Shared, packed_rows, schema_with
 from patronscope.session import settle
 
 BUCKETS = 1 << 15
@@ -46,8 +47,20 @@ HOST_PAGES, DOMAIN_PAGES = 5.0, 20.0
 #: Added to each count of declared values and suffixes.
 SMOOTH = 1.0
 
-HIDDEN = re.compile(r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>|<[^>]*>")
-DECLARED = re.compile(r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?\s*([a-z]{2,3})")
+OPENED = re.compile(r"(?i)<(?:(!--)|(script|style)\b)?")
+CLOSED = {"!--": re.compile("-->"), "script": re.compile(r"(?i)</script\s*>"), "style": re.compile(r"(?i)</style\s*>")}
+ROOT = re.compile(r"(?i)<html\b")
+DECLARED = re.compile(r"(?i)\blang\s*=\s*[\"']?\s*([a-z]{2,})")
+#: Three-letter codes of languages that have one of two letters. Fixed values of the standard.
+THREE_LETTERS = {
+    "ara": "ar", "bul": "bg", "cat": "ca", "ces": "cs", "cze": "cs", "dan": "da", "deu": "de", "ger": "de", "ell": "el", "gre": "el", "eng": "en",
+    "spa": "es", "est": "et", "fas": "fa", "per": "fa", "fin": "fi", "fra": "fr", "fre": "fr", "heb": "he", "hin": "hi", "hrv": "hr", "hun": "hu",
+    "ind": "id", "ita": "it", "jpn": "ja", "kor": "ko", "lit": "lt", "lav": "lv", "nld": "nl", "dut": "nl", "nor": "no", "pol": "pl", "por": "pt",
+    "ron": "ro", "rum": "ro", "rus": "ru", "slk": "sk", "slo": "sk", "slv": "sl", "srp": "sr", "swe": "sv", "tha": "th", "tur": "tr", "ukr": "uk",
+    "vie": "vi", "zho": "zh", "chi": "zh",
+}
+#: Second-level names under which country domains register names. Fixed values.
+SECOND_LEVEL = {"ac", "co", "com", "edu", "gob", "gov", "gouv", "net", "or", "org"}
 HOST = re.compile(r"(?i)^\s*(?:[a-z][a-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)")
 
 
@@ -115,8 +128,41 @@ def text_scores(text: str, model: Model) -> np.ndarray:
     return scores - scores.max(initial=-np.inf) if len(scores) else scores
 
 
+def text_verdict(text: str, model: Model) -> tuple[np.ndarray, int | None]:
+    """The scores of a text and its most likely language; None without evidence."""
+    scores = text_scores(text, model)
+    known = len(model.languages) == 1 and len(trigram_counts(text)[0])
+    return scores, int(scores.argmax()) if scores.any() or known else None
+
+
 def visible_text(page: str) -> str:
-    return html.unescape(HIDDEN.sub(" ", page))
+    """The text without tags, comments, scripts and styles. What is not closed is not searched for again, so the time
+    is linear in the page."""
+    out, at, missing = [], 0, set()
+    while found := OPENED.search(page, at):
+        kind, end = (found[1] or found[2] or "").lower(), None
+        if kind and kind not in missing:
+            end = CLOSED[kind].search(page, found.end())
+            if not end:
+                missing.add(kind)
+        stop = end.end() if end else page.find(">", found.start()) + 1
+        if not stop:  # no tag ends from here on
+            break
+        out.append(page[at : found.start()])
+        at = stop
+    return html.unescape(" ".join([*out, page[at:]]))
+
+
+def declared_language(page: str) -> str:
+    """The primary language code of the first root tag that declares one, or an empty text."""
+    at = 0
+    while root := ROOT.search(page, at):
+        at = page.find(">", root.start()) + 1 or len(page)
+        said = DECLARED.search(page, root.end(), at)
+        if said:
+            code = said[1].lower()
+            return THREE_LETTERS.get(code, code)
+    return ""
 
 
 def address_parts(url: str | None) -> tuple[str, str, str]:
@@ -124,12 +170,13 @@ def address_parts(url: str | None) -> tuple[str, str, str]:
     found = HOST.match(url or "")
     host = found[1].lower().strip(".") if found else ""
     labels = host.split(".")
-    return host, ".".join(labels[-2:]), labels[-1] if len(labels) > 1 else ""
+    size = 3 if len(labels) > 2 and len(labels[-1]) == 2 and labels[-2] in SECOND_LEVEL else 2
+    return host, ".".join(labels[-size:]), labels[-1] if len(labels) > 1 else ""
 
 
 def evidence(pages: DataFrame, model: Model, page: str = "html", url: str = "url") -> DataFrame:
     """(row, host, domain, suffix, declared, scores, vote) for every page; ``vote`` is null without text."""
-    shared = pages.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(pages.sparkSession, "language", model)
     rows = packed_rows(pages, page, url=F.col(f"`{url}`").cast("string"))
     names = ["host", "domain", "suffix", "declared"]
     schema = schema_with(
@@ -143,10 +190,9 @@ def evidence(pages: DataFrame, model: Model, page: str = "html", url: str = "url
             out = []
             for data, address in zip(batch.column("data").to_pylist(), batch.column("url").to_pylist(), strict=True):
                 source = data.decode()
-                said = DECLARED.search(source)
-                declared = "" if not said else said[1].lower()[:2] if said[1].lower()[:2] in known else "other"
-                scores = text_scores(visible_text(source), model)
-                vote = int(scores.argmax()) if scores.any() else None
+                declared = declared_language(source)
+                declared = declared if declared in known or not declared else "other"
+                scores, vote = text_verdict(visible_text(source), model)
                 out.append((*address_parts(address), declared, scores.tolist(), vote))
             kinds = [pa.string()] * 4 + [pa.list_(pa.float64()), pa.int64()]
             columns = zip(*out, strict=True) if out else [[]] * 6
@@ -203,7 +249,7 @@ def identify(pages: DataFrame, model: Model, page: str = "html", url: str = "url
     fused = found.select("row", "declared", "vote", fused.alias("_logs"))
     best = F.array_max("_logs")
     return fused.select(
-        "row", names[(F.array_position("_logs", best) - 1).cast("int")].alias("lang"),
+        "row", F.get(names, (F.array_position("_logs", best) - 1).cast("int")).alias("lang"),
         (1 / summed(F.transform(F.col("_logs"), lambda x: F.exp(x - best)))).alias("probability"),
-        names[F.col("vote").cast("int")].alias("text_lang"), "declared",
+        F.get(names, F.col("vote").cast("int")).alias("text_lang"), "declared",
     )

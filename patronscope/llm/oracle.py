@@ -25,7 +25,8 @@ with d as (
   select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words base_failed from s
 ), f as (
   select *, base_failed or n_symbols > 0.1 * n_words or n_dup_lines > 0.3 * n_lines
-    or word_chars < 2 * n_words or word_chars > 15 * n_words any_failed from b
+    or word_chars < 2 * n_words or word_chars > 15 * n_words any_failed,
+    base_failed or n_symbols > 0.2 * n_words or n_dup_lines > 0.6 * n_lines or word_chars < 1 * n_words or word_chars > 30 * n_words strong from b
 ), h as (
   select source, count(*)::double n, sum(any_failed::int)::double x from f where source is not null group by source
 ), m as (
@@ -34,10 +35,10 @@ with d as (
 ), k as (
   select mu, case when n is null or x = 0 or x = n then 1.0 when tau > mu * (1 - mu) * 1e-6 then greatest(mu * (1 - mu) / tau - 1, 1.0) else 1e6 end strength from m
 ), v as (
-  select source, (x + mu * strength) / (n + strength) rate from h, k
+  select source, (x + mu * strength) / (n + strength) > mu + sqrt(mu * (1 - mu) / (strength + 1)) strict from h, k
 )
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  not base_failed and not (coalesce(rate > 0.5, false) and any_failed) kept
+  not base_failed and not strong and not (coalesce(strict, false) and any_failed) kept
 from f left join v using (source)
 """
 

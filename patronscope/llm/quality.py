@@ -1,16 +1,19 @@
 """Quality rules per document, judged together with the failure rate of the document's host.
 
 Document rules are column expressions. Failures are counted by host, the rates are shrunk
-with a beta prior fitted to all hosts, and the verdicts are joined back: at a normal host only
-the base rules reject a document, at a strict host any failed rule does.
+with a beta prior fitted to all hosts, and the verdicts are joined back. A document that fails the base rules, or breaks a
+further rule by more than ``STRONG`` times its bound, is rejected anywhere. One that breaks a further rule mildly is rejected at
+strict hosts, whose shrunk rate is more than a standard deviation of the prior above its mean.
 
 Defined cases: a null text has no words; a document without words fails the base rules; a null
-host forms no group and is normal; repeated rows are judged one by one; an empty table gives an
+host forms no group and is not strict; repeated rows are judged one by one; very long texts are judged whole; an empty table gives an
 empty result. Input columns stay inside ``row``, so their names cannot clash.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,8 +28,8 @@ MAX_REPEAT_PERCENT = 20
 MAX_SYMBOLS_PER_WORD = 0.1
 MAX_DUP_LINES = 0.3
 WORD_LENGTH = (2.0, 15.0)
-#: A host is strict if its shrunk failure rate is above this.
-STRICT_RATE = 0.5
+#: A further rule is broken strongly beyond so many times its bound; the shortest mean length counts inversely.
+STRONG = 2.0
 
 STATS = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]
 
@@ -83,48 +86,57 @@ def text_stats(text: Column) -> Column:
     return let(F.coalesce(text, F.lit("")), of)
 
 
-def rule_failures() -> dict[str, Column]:
-    """The document rules over the columns of ``STATS``."""
+def base_failures() -> Column:
+    """The base rules over the columns of ``STATS``."""
     words = F.col("n_words")
-    return {
-        "few_words": words < MIN_WORDS,
-        "repeats": 100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * words,
-        "symbols": F.col("n_symbols") > MAX_SYMBOLS_PER_WORD * words,
-        "dup_lines": F.col("n_dup_lines") > MAX_DUP_LINES * F.col("n_lines"),
-        "word_length": ~(F.col("word_chars").between(WORD_LENGTH[0] * words, WORD_LENGTH[1] * words)),
-    }
+    return (words < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * words)
+
+
+def further_failures(times: float = 1.0) -> Column:
+    """The further rules, with their bounds taken so many times."""
+    words = F.col("n_words")
+    return (
+        (F.col("n_symbols") > times * MAX_SYMBOLS_PER_WORD * words)
+        | (F.col("n_dup_lines") > times * MAX_DUP_LINES * F.col("n_lines"))
+        | ~F.col("word_chars").between(WORD_LENGTH[0] / times * words, WORD_LENGTH[1] * times * words)
+    )
 
 
 def measure(docs: DataFrame, text: str = "text", host: str = "source", keep_text: bool = True) -> DataFrame:
-    """(row, host, the counts, base_failed, any_failed) for every document.
+    """(row, host, the counts, base_failed, any_failed, strong) for every document.
 
     The counts come out of ``explode``, so that a filter on them is not pushed below and computes them again.
     """
     kept = [docs[f"`{c}`"] for c in docs.columns if keep_text or c != text]
     stats = docs.select(F.struct(*kept).alias("row"), docs[f"`{host}`"].alias("host"), F.explode(F.array(text_stats(docs[f"`{text}`"]))).alias("stats"))
-    rules = rule_failures()
-    base = rules["few_words"] | rules["repeats"]
+    base = base_failures()
     return stats.select("row", "host", "stats.*").withColumns({
-        "base_failed": base,
-        "any_failed": base | rules["symbols"] | rules["dup_lines"] | rules["word_length"],
+        "base_failed": base, "any_failed": base | further_failures(), "strong": base | further_failures(STRONG),
     })
 
 
 def host_rates(measured: DataFrame) -> DataFrame:
-    """(host, docs, failed, rate): failure rates shrunk toward the mean of all hosts.
+    """(host, docs, failed, rate, strict): failure rates shrunk toward the mean of all hosts.
 
     The prior Beta(a, b) has the mean failure rate of all documents and the variance between
-    hosts that sampling does not explain. One row of sums goes to the driver for it.
+    hosts that sampling does not explain. The counts are written, so that ``measured`` is read once; one row of sums goes to the driver.
     """
-    hosts = measured.where(F.col("host").isNotNull()).groupBy("host").agg(
+    hosts = settle(measured.where(F.col("host").isNotNull()).groupBy("host").agg(
         F.count(F.lit(1)).alias("docs"), F.sum(F.col("any_failed").cast("long")).alias("failed")
-    )
+    ), "hosts")
     sums = hosts.agg(
         F.count(F.lit(1)).alias("hosts"), F.sum("docs").alias("docs"), F.sum("failed").alias("failed"),
         F.sum(F.col("failed") * F.col("failed") / F.col("docs")).alias("squares"),
     ).first()
     a, b = beta_prior(sums["hosts"], sums["docs"], sums["failed"], sums["squares"])
-    return hosts.withColumn("rate", (F.col("failed") + F.lit(a)) / (F.col("docs") + F.lit(a + b)))
+    rate = (F.col("failed") + F.lit(a)) / (F.col("docs") + F.lit(a + b))
+    return hosts.withColumn("rate", rate).withColumn("strict", F.col("rate") > F.lit(strict_bound(a, b)))
+
+
+def strict_bound(a: float, b: float) -> float:
+    """Mean and one standard deviation of Beta(a, b)."""
+    mean = a / (a + b)
+    return mean + math.sqrt(mean * (1 - mean) / (a + b + 1))
 
 
 def beta_prior(hosts: int, docs: int | None, failed: int | None, squares: float | None) -> tuple[float, float]:
@@ -141,21 +153,20 @@ def beta_prior(hosts: int, docs: int | None, failed: int | None, squares: float
 
 def apply_hosts(measured: DataFrame, rates: DataFrame) -> DataFrame:
     """``measured`` with ``host_rate`` and ``kept``. Adaptive execution splits a hot host in the join."""
-    strict = F.coalesce(F.col("host_rate") > STRICT_RATE, F.lit(False))
-    return measured.join(rates.select("host", F.col("rate").alias("host_rate")), "host", "left").withColumn(
-        "kept", ~F.col("base_failed") & ~(strict & F.col("any_failed"))
-    )
+    strict = F.coalesce(F.col("strict"), F.lit(False))
+    return measured.join(rates.select("host", F.col("rate").alias("host_rate"), "strict"), "host", "left").withColumn(
+        "kept", ~F.col("base_failed") & ~F.col("strong") & ~(strict & F.col("any_failed"))
+    ).drop("strict")
 
 
 def quality_rules(docs: DataFrame, text: str = "text", host: str = "source", keep_text: bool = True) -> DataFrame:
-    """(host, row, counts, base_failed, any_failed, host_rate, kept) for every document.
+    """(host, row, counts, base_failed, any_failed, strong, host_rate, kept) for every document.
 
     ``row`` holds the input columns, the text only with ``keep_text``. Without texts the counts are written
     once to the shared folder; with texts they are computed again for the verdicts, as
-    that takes less than another copy of the texts. The host rates are written, so Spark knows their size
-    when it plans the join.
+    that takes less than another copy of the texts.
     """
     measured = measure(docs, text, host, keep_text)
     if not keep_text:
         measured = settle(measured, "quality")
-    return apply_hosts(measured, settle(host_rates(measured), "hosts"))
+    return apply_hosts(measured, host_rates(measured))

@@ -8,7 +8,7 @@ shuffled, never the pre-tokens. The table decides speed alone: counts are exact
 
 Defined cases: a null text is empty and has no tokens; the added tokens of the vocabulary are found
 inside texts as the library's default does; an empty table gives an empty result; repeated rows
-are counted one by one; input columns pass through inside ``row``.
+are counted one by one; very long texts are counted whole; input columns pass through inside ``row``, so their names cannot clash.
 """
 
 from __future__ import annotations

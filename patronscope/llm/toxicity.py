@@ -17,7 +17,7 @@ curve is fitted on different documents.
 Defined cases: a null or empty text has no segment and gets the score of normalised value ``-ln K``; labels with a
 null id or a value other than 0 and 1 are not used; a doc_id labelled more than once takes the larger
 label; without labels of both classes every score is the share of label 1 (0 without labels); an empty table gives an empty
-result; repeated rows are scored one by one.
+result; repeated rows are scored one by one; very long texts are scored whole; input columns pass through inside ``row``, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
-from patronscope.llm.common import packed_rows, schema_with
+from patronscope.llm.common import Shared, packed_rows, schema_with
 from patronscope.session import settle
 
 MAX_LABELED = 20_000
@@ -220,7 +220,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     model = learn_tokens(learned.where(~F.col("calibrate")))
     scores = Scores(model)
     decay = decay_of(np.array([scores[t] for t in model.tokens]), np.array([float(c) for c, _ in model.tokens.values()]))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(docs.sparkSession, "toxicity", model)
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores = Scores(shared.value)
@@ -241,7 +241,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
         share = float(y.mean()) if len(y) else 0.0
         return model._replace(decay=decay, constant=constant, intercept=math.log(max(share, 1e-9) / max(1 - share, 1e-9)))
     model = model._replace(decay=decay, constant=constant)
-    scaled = docs.sparkSession.sparkContext.broadcast(model)
+    scaled = Shared(docs.sparkSession, "toxicity", model)
 
     def joint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, scores = scaled.value, Scores(scaled.value)
@@ -256,7 +256,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text", max_expected: float = MAX_EXPECTED) -> DataFrame:
     """(row, score, passages) for every document; ``passages`` holds the first token, end token and score of each significant passage."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(docs.sparkSession, "toxicity", model)
     rows = packed_rows(docs, text)
     kind = pa.list_(pa.struct(list(zip(PASSAGE, (pa.int64(), pa.int64(), pa.float64()), strict=True))))
     schema = schema_with(rows.schema["row"].dataType, ("score", DoubleType()), ("passages", PASSAGES))

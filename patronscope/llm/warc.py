@@ -13,10 +13,10 @@ record, digest. After a failed check the reader searches for the next place that
 on there, and logs the bytes between as a gap with the reason. A member may hold many records, whose offset and length
 are those of the member; of a damaged member the bytes up to the damage are searched for records.
 
-Defined cases: a null payload is empty; a null id is written without id and read as null, and never
+Defined cases: a null payload is empty; a null id, or a text that is no whole number, is written without id and read as null, and never
 names a response that others refer to unless all ids are null; rows that repeat the smallest id are all
 responses; line breaks in addresses are written as percent codes; an empty table gives no records;
-columns of the input other than the three named are not written.
+columns of the input other than the three named are not written, so their names cannot clash; a very long payload is one record.
 """
 
 from __future__ import annotations
@@ -206,7 +206,7 @@ def write_archives(
     """
     data = F.coalesce(F.col(f"`{payload}`").cast("binary"), F.lit(b""))
     rows = pages.select(
-        F.col(f"`{id_col}`").cast("long").alias("page_id"), F.col(f"`{url}`").cast("string").alias("url"), data.alias("payload"),
+        F.col(f"`{id_col}`").try_cast("long").alias("page_id"), F.col(f"`{url}`").cast("string").alias("url"), data.alias("payload"),
         F.sha2(data, 256).alias("digest"), F.octet_length(data).alias("size"),
     )
     first = (

@@ -71,6 +71,36 @@ def test_language_without_rows_or_labels(spark, pages, empty, language_model):
     assert len(rows) == pages.count() and all(r["lang"] is None and r["probability"] is None for r in rows)
 
 
+def test_pages_without_text(spark):
+    labels = spark.createDataFrame([("es", "hola mundo y todos"), ("en", "hello world and all")], "lang string, text string")
+    pages = spark.createDataFrame([(1, "http://a.es", "<p>hello world"), (2, "http://a.es", None)], "page_id long, url string, html string")
+    found = {r["row"]["page_id"]: r for r in language.identify(pages, language.fit(labels)).collect()}
+    assert found[1]["text_lang"] == "en" and found[2]["text_lang"] is None and found[2]["lang"] in ("en", "es")
+    alone = language.identify(pages, language.fit(labels.where("lang = 'en'"))).collect()
+    assert {r["row"]["page_id"]: r["text_lang"] for r in alone} == {1: "en", 2: None}
+
+
+def test_marks_of_a_page():
+    assert language.visible_text("a<b>c</b> <!-- x > y -->d<script>1 < 2</SCRIPT >e<style>f") == "a c   d e f"
+    assert language.visible_text("x <!-- y <p>z < end") == "x  z < end"
+    assert language.visible_text("no marks &amp; < more") == "no marks & < more"
+    for mark in ("<script ", "<!--", "<", "<html "):  # linear also where nothing is closed
+        assert len(language.visible_text(mark * 200_000)) > 0 and language.declared_language(mark * 200_000) == ""
+    for page, code in [("<html lang=est>", "et"), ("<HTML  class=x LANG = 'de-AT'>", "de"), ("<html lang=fil>", "fil"), ("<html><p lang=en>", ""),
+                       ("<html dir=ltr><html lang=fr>", "fr"), ("<html lang=spa", "es")]:
+        assert language.declared_language(page) == code
+    assert language.address_parts("http://news.bbc.co.uk/x") == ("news.bbc.co.uk", "bbc.co.uk", "uk")
+    assert language.address_parts("http://www.shop.de") == ("www.shop.de", "shop.de", "de") and language.address_parts("http://co.uk")[1] == "co.uk"
+
+
+def test_item_ids_keep_their_type(spark):
+    docs = spark.createDataFrame([(1, "one two three four five six seven eight nine ten")], "doc_id long, text string")
+    for kind, value in (("double", 1.5), ("string", "x"), ("int", 3)):
+        items = spark.createDataFrame([(value, "one two three four five six seven eight nine ten")], f"item_id {kind}, text string")
+        found = contaminated(docs, items)
+        assert dict(found.dtypes)["item"] == kind and [r["item"] for r in found.collect()] == [value]
+
+
 def test_language_of_held_out_texts(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lang is not null and n_chars >= 100")
     model = language.fit(docs, held_out=toxicity.fold(F.col("doc_id")) == 0)

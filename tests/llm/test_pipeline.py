@@ -1,6 +1,9 @@
 """The whole pipeline against plain versions of its stages."""
 
 import hashlib
+import os
+import subprocess
+import sys
 from collections import Counter
 from pathlib import Path
 
@@ -15,7 +18,7 @@ from llm.test_simhash import brute_fingerprint, brute_groups
 
 from patronscope.llm.bpe import read_ranks
 from patronscope.llm.decontaminate import WORD
-from patronscope.llm.quality import MAX_DUP_LINES, MAX_SYMBOLS_PER_WORD, STRICT_RATE, WORD_LENGTH, beta_prior
+from patronscope.llm.quality import MAX_DUP_LINES, MAX_SYMBOLS_PER_WORD, STRONG, WORD_LENGTH, beta_prior, quality_rules, strict_bound
 
 
 def brute_quality(rows):
@@ -23,12 +26,15 @@ def brute_quality(rows):
     for r in rows:
         words, chars, symbols, dup, _, failed = brute(r["text"])
         lines = sum(bool(line.strip(" \t\n\x0b\x0c\r")) for line in (r["text"] or "").split("\n"))
-        odd = symbols > MAX_SYMBOLS_PER_WORD * words or dup > MAX_DUP_LINES * lines
-        judged.append((r, failed, failed or odd or not WORD_LENGTH[0] * words <= chars <= WORD_LENGTH[1] * words))
+        mild, strong = (
+            symbols > t * MAX_SYMBOLS_PER_WORD * words or dup > t * MAX_DUP_LINES * lines
+            or not WORD_LENGTH[0] / t * words <= chars <= WORD_LENGTH[1] * t * words for t in (1, STRONG)
+        )
+        judged.append((r, failed or strong, failed or mild))
     known = [(r["source"], bad) for r, _, bad in judged if r["source"] is not None]
     total, failures = Counter(s for s, _ in known), Counter(s for s, bad in known if bad)
     a, b = beta_prior(len(total), len(known), sum(failures.values()), sum(failures[s] ** 2 / total[s] for s in total))
-    strict = {s for s in total if (failures[s] + a) / (total[s] + a + b) > STRICT_RATE}
+    strict = {s for s in total if (failures[s] + a) / (total[s] + a + b) > strict_bound(a, b)}
     return [r for r, failed, bad in judged if not failed and not (r["source"] in strict and bad)]
 
 
@@ -88,7 +94,9 @@ def test_pipeline(spark, odd, small, folder):
     for r in clean:
         ids = np.array(encoding.encode_ordinary(r["text"]), "<u4").tobytes()
         want.append((r["doc_id"], r["lang"], r["source"], len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(r["text"].encode()).hexdigest()))
+    pending = quality_rules(docs, keep_text=False)
     got = corpus_pipeline.run(spark, folder)
+    assert pending.count() == len(rows)  # the run frees its own tables only
     assert got.columns == ["doc_id", "lang", "source", "n_tokens", "ids_sha256", "decoded_sha256", "ids"]
     same_rows(got.drop("ids").collect(), want)
 
@@ -102,3 +110,21 @@ def test_stages_keep_the_columns(spark, odd, empty, folder):
     assert corpus_pipeline.tokenize(spark, empty, folder).count() == 0
     rows = corpus_pipeline.tokenize(spark, odd, folder).collect()
     assert len(rows) == odd.count()
+
+
+def test_executors_need_no_copy_of_the_package(folder):
+    """Started in an empty folder, with the package on the path of the driver alone."""
+    names = ["op7_language", "op8_decontamination", "op9_toxicity", "op11_packing", "op12_whitening", "op13_alignment"]
+    code = f"""
+import sys
+sys.path.insert(0, {str(Path(corpus_pipeline.__file__).parent)!r})
+from patronscope.llm.queries import QUERIES
+from patronscope.session import build_session
+spark = build_session("alone", "local[4]", spark__sql__shuffle__partitions="4", spark__checkpoint__dir={folder!r})
+for name in {names}:
+    QUERIES[name](spark, {DATA!r}).write.format("noop").mode("overwrite").save()
+    print("done", name)
+"""
+    clean = {k: v for k, v in os.environ.items() if k not in ("PYTHONPATH", "SPARK_ENV_LOADED", "PYSPARK_GATEWAY_PORT", "PYSPARK_GATEWAY_SECRET")}
+    ran = subprocess.run([sys.executable, "-c", code], cwd=folder, env=clean, capture_output=True, text=True, timeout=600)
+    assert [line for line in ran.stdout.splitlines() if line.startswith("done")] == [f"done {n}" for n in names], ran.stderr[-2000:]

@@ -32,6 +32,13 @@ def test_round_trip(spark, folder):
     assert read_archives(spark, folder + "/none").count() == 0
 
 
+def test_text_ids(spark, folder):
+    """An id that is no number is written without id."""
+    rows = [("7", "u", "seven"), ("x7", "u", "other"), (None, "u", "none")]
+    found = archive_table(spark.createDataFrame(rows, "page_id string, url string, html string"), folder + "/w", with_payload=True)
+    assert sorted(((r["page_id"], bytes(r["payload"])) for r in found.collect()), key=repr) == [(7, b"seven"), (None, b"none"), (None, b"other")]
+
+
 def test_salvage():
     records = [record(i, bytes([65 + i]) * 300) for i in range(6)]
     for packed in (True, False):
