@@ -162,6 +162,16 @@ VIEWS = {
         where r.cluster < t.cluster group by e.b""",
 }
 
+VIEWS["o_planted"] = f"""select order_id as {WHO}, place, (order_id * 37) % 101 / 101 + place * 40 as x,
+    (order_id * 53) % 103 / 103 + (place % 2) * 60 as y from (select order_id,
+    case when order_id % 15 < 5 then 0 when order_id % 15 < 9 then 1 when order_id % 15 < 12 then 2 when order_id % 15 < 14 then 3 else 4 end as place
+    from fx_orders)"""
+VIEWS["o_planted_groups"] = f"select {WHO}, min({WHO}) over (partition by place) as first from o_planted"
+
+VIEWS["o_spreads"] = """select p.place, x, y, avg(sqrt((p.px - c.x) ** 2 + (p.py - c.y) ** 2)) as s
+    from (select place, x as px, y as py from o_planted) p join (select place, avg(x) as x, avg(y) as y from o_planted group by 1) c using (place) group by all"""
+VIEWS["o_joined_spreads"] = """select p.place, x, y, avg(sqrt((p.px - c.x) ** 2 + (p.py - c.y) ** 2)) as s
+    from (select place, x as px, y as py from (select * replace (least(place, 3) as place) from o_planted)) p join (select place, avg(x) as x, avg(y) as y from (select * replace (least(place, 3) as place) from o_planted) group by 1) c using (place) group by all"""
 KEYED = {"o_reach": "o_reach(id, cluster) using key (id)"}
 
 
@@ -345,7 +355,7 @@ SQL = {
         17 as columns from o_features""",
     "io8_profile_sink": "select segment, customers, segment_name from o_named",
     "io9_insight_text": "select line from o_insights",
-    "in1_columns": _union("""select '{t}' as dataset, {i} as position, '{c}' as "column" """),
+    "in1_columns": _union("""select '{t}' as dataset, {i} as position, '{c}' as "column", (select count(*) from {v}) as rows"""),
     "in2_shapes": _shapes(),
     "in3_column_info": _union("""select '{t}' as dataset, '{c}' as "column", '{k}' as dtype, count({c}) as non_null from {v}"""),
     "in4_describe": _describe(),
@@ -475,6 +485,15 @@ SQL = {
         p as (select order_id, case when g < 5 then 0 when g < 9 then 1 when g < 12 then 2 when g < 14 then 3 else 4 end as place from g)
         select order_id, cast(row as int) as label from p join
           (select place, row_number() over (order by count(*) desc, place) - 1 as row from p group by 1) using (place)""",
+    "ml4_planted": "select cast(k as int) as k, k = 5 as chosen from (select unnest(range(2, 9)) as k)",
+    "ml5_planted": "select * from o_planted_groups",
+    "ml9_planted": " union all ".join(f"select '{m}' as model, * from o_planted_groups" for m in ("kmeans", "dbscan", "hierarchical")),
+    "io10_planted": "select * from o_planted_groups",
+    "ev4_planted": " union all ".join(
+        f"""select '{m}' as model, round(avg(worst), 6) as davies_bouldin from (
+          select a.place, max((a.s + b.s) / sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2)) as worst from {v} a join {v} b on a.place <> b.place group by 1)"""
+        for m, v in (("right", "o_spreads"), ("joined", "o_joined_spreads"))
+    ),
     "ev1_silhouette": f"""with s as (select * from o_labeled {SIMPLE_SAMPLE.format(keys='customer_unique_id', seed=42, n=5000)}),
         sizes as (select label, count(*) as size from s group by 1),
         d as (select a.customer_unique_id as id, a.label as own, b.label as other, sum(sqrt({gap('a', 'b', Z)})) as total

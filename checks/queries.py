@@ -41,6 +41,15 @@ def _flat(spark, folder):
     return joins.flat_table(_tables(spark, folder))
 
 
+def _items(spark, folder):
+    """The flat table without products, for features that read none of their columns."""
+    return joins.flat_items(_tables(spark, folder, "orders", "customers", "order_items"))
+
+
+def _orders(spark, folder):
+    return joins.orders_with_customers(_tables(spark, folder, "orders", "customers"))
+
+
 def _features(spark, folder):
     return features.customer_features(_tables(spark, folder))
 
@@ -228,7 +237,7 @@ def io10_model_bundle(spark, folder):
 
 @query
 def in1_columns(spark, folder):
-    return inspect.column_list(spark, _tables(spark, folder))
+    return inspect.column_list(_tables(spark, folder))
 
 
 @query
@@ -276,7 +285,8 @@ def dq7_business_rules(spark, folder):
 
 def _rule(*positions):
     def run(spark, folder):
-        return dq7_business_rules(spark, folder).where(F.col("position").isin(*positions)).drop("position")
+        named = {audit.RULES[i][1] for i in positions}
+        return audit.business_rules(_tables(spark, folder, *named), list(positions)).drop("position")
 
     return run
 
@@ -396,20 +406,19 @@ def cl9_cleaning_flow(spark, folder):
 @query
 def cl10_dated_orders(spark, folder):
     orders = _tables(spark, folder, "orders")["orders"]
-    return orders.dropna(subset=["order_delivered_customer_date"]).select("order_id", "order_status")
+    return clean.delivered_orders(orders).select("order_id", "order_status")
 
 
 @query
 def cl11_delivery_range(spark, folder):
     orders = _tables(spark, folder, "orders")["orders"]
-    days = fx.floor_days(F.col("order_purchase_timestamp"), F.col("order_delivered_customer_date"))
-    return orders.select("order_id", days.alias("days")).where("days between 0 and 60")
+    return clean.delivery_days(orders)
 
 
 @query
 def cl13_rename(spark, folder):
     products = _tables(spark, folder, "products")["products"]
-    return products.select("product_id", F.col("product_category_name").alias("category"))
+    return clean.product_categories(products)
 
 
 # --- joins ------------------------------------------------------------------------------
@@ -424,13 +433,13 @@ def jn1_orders_customers(spark, folder):
 @query
 def jn2_orders_items(spark, folder):
     t = _tables(spark, folder, "orders", "order_items")
-    return t["orders"].join(t["order_items"], "order_id", "left").select("order_id", "order_item_id", "product_id", "price")
+    return joins.orders_with_items(t).select("order_id", "order_item_id", "product_id", "price")
 
 
 @query
 def jn3_items_products(spark, folder):
     t = _tables(spark, folder, "order_items", "products")
-    return t["order_items"].join(t["products"], "product_id", "left").select(
+    return joins.items_with_products(t).select(
         "order_id", "order_item_id", "product_category_name", "product_weight_g"
     )
 
@@ -481,11 +490,7 @@ def jn10_reviews_categories(spark, folder):
 @query
 def jn11_top_category_items(spark, folder):
     t = _tables(spark, folder, "order_items", "products", "category_name_translation")
-    name = "product_category_name_english"
-    return (
-        joins.items_with_categories(t).join(charts.top_categories(t).select(name), name, "left_semi")
-        .select("order_id", "order_item_id", name)
-    )
+    return charts.top_category_items(t).select("order_id", "order_item_id", "product_category_name_english")
 
 
 @query
@@ -504,13 +509,13 @@ def fe1_snapshot(spark, folder):
 
 @query
 def fe2_order_totals(spark, folder):
-    return features.order_totals(_flat(spark, folder)).select(
+    return features.order_totals(_items(spark, folder)).select(
         "order_id", WHO, "order_total", "order_freight", "order_total_with_freight"
     )
 
 
 def _rfm_column(column):
-    return lambda spark, folder: features.rfm(_flat(spark, folder)).select(WHO, column)
+    return lambda spark, folder: features.rfm(_items(spark, folder), dated=_orders(spark, folder)).select(WHO, column)
 
 
 QUERIES["fe3_recency"] = _rfm_column("recency")
@@ -520,7 +525,7 @@ QUERIES["fe5_monetary"] = _rfm_column("monetary")
 
 @query
 def fe6_rfm(spark, folder):
-    return features.rfm(_flat(spark, folder))
+    return features.rfm(_items(spark, folder), dated=_orders(spark, folder))
 
 
 @query
@@ -530,12 +535,12 @@ def fe7_preferred_category(spark, folder):
 
 @query
 def fe8_area(spark, folder):
-    return features.area(_flat(spark, folder))
+    return features.area(_orders(spark, folder))
 
 
 @query
 def fe9_return_rate(spark, folder):
-    return features.return_rate(_flat(spark, folder))
+    return features.return_rate(_orders(spark, folder))
 
 
 def _payments(spark, folder):
@@ -560,17 +565,17 @@ def fe12_avg_review_score(spark, folder):
 
 @query
 def fe13_delivery_delay(spark, folder):
-    return features.delivery(_flat(spark, folder)).select(WHO, "delivery_delay")
+    return features.delivery(_items(spark, folder)).select(WHO, "delivery_delay")
 
 
 @query
 def fe14_delivery_time(spark, folder):
-    return features.delivery(_flat(spark, folder)).select(WHO, "avg_delivery_time")
+    return features.delivery(_items(spark, folder)).select(WHO, "avg_delivery_time")
 
 
 @query
 def fe15_freight_ratio(spark, folder):
-    return rounded(features.freight_ratio(_flat(spark, folder)))
+    return rounded(features.freight_ratio(_items(spark, folder)))
 
 
 @query
@@ -580,7 +585,7 @@ def fe16_category_diversity(spark, folder):
 
 @query
 def fe17_tenure(spark, folder):
-    return features.tenure(_flat(spark, folder))
+    return features.tenure(_orders(spark, folder))
 
 
 @query
@@ -770,6 +775,70 @@ def ml9_three_models(spark, folder):
     return fx.union_all([df.select(F.lit(n).alias("model"), WHO, "label") for n, df in models.labeled.items()])
 
 
+def _planted(spark, folder):
+    """Model input with five groups of orders far apart in two features; the others are 0."""
+    group = F.pmod(F.col("order_id"), F.lit(15))
+    place = F.when(group < 5, 0).when(group < 9, 1).when(group < 12, 2).when(group < 14, 3).otherwise(4)
+    x = F.pmod(F.col("order_id") * 37, F.lit(101)) / 101 + place * 40
+    y = F.pmod(F.col("order_id") * 53, F.lit(103)) / 103 + F.pmod(place, F.lit(2)) * 60
+    zero = {z: F.lit(0.0) for z in prep.SCALED}
+    columns = {**zero, prep.SCALED[0]: x, prep.SCALED[1]: y}
+    orders = _tables(spark, folder, "orders")["orders"]
+    return settle(orders.select(F.col("order_id").alias(WHO), *[c.alias(n) for n, c in columns.items()]))
+
+
+def _groups(labeled: DataFrame) -> DataFrame:
+    """Each customer with the first member of its cluster, whatever the clusters are called."""
+    first = labeled.groupBy("label").agg(F.min(WHO).alias("first"))
+    return labeled.select(WHO, "label").join(first, "label").select(WHO, "first")
+
+
+@query
+def ml4_planted(spark, folder):
+    """Choosing K finds the number of planted groups."""
+    choice = cluster.choose_k(_planted(spark, folder), restarts=4)
+    return choice.curve.select("k", (F.col("k") == choice.k).alias("chosen"))
+
+
+@query
+def ml5_planted(spark, folder):
+    planted = _planted(spark, folder)
+    return _groups(planted.select(WHO, cluster.fit_kmeans(planted, 5).label().alias("label")))
+
+
+@query
+def ml9_planted(spark, folder):
+    """All three models find the planted groups."""
+    models = cluster.fit_models(_planted(spark, folder))
+    return fx.union_all([_groups(df).select(F.lit(n).alias("model"), WHO, "first") for n, df in models.labeled.items()])
+
+
+@query
+def io10_planted(spark, folder):
+    """A saved model that is loaded again gives the planted groups from raw features."""
+    planted = _planted(spark, folder)
+    raw = {z: c for z, c in zip(prep.SCALED, schema.MODEL_FEATURES)}
+    model = cluster.fit_kmeans(planted, 5)
+    plain = prep.Scaling({}, {c: 0.0 for c in schema.MODEL_FEATURES}, {c: 1.0 for c in schema.MODEL_FEATURES})
+    path = cluster.save_model(plain, model, scratch_path(spark, "model"))
+    logs = {f"{c}_log": c for c in schema.LOG_FEATURES}
+    table = planted.select(WHO, *[
+        (F.expm1(F.col(z)) if c in logs else F.col(z)).alias(logs.get(c, c)) for z, c in raw.items()
+    ])
+    return _groups(cluster.score(cluster.load_model(spark, path), table))
+
+
+@query
+def ev4_planted(spark, folder):
+    """The comparison of two labelings of the planted groups: the right one, and one that joins two of them."""
+    planted = _planted(spark, folder)
+    group = F.pmod(F.col(WHO), F.lit(15))
+    place = F.when(group < 5, 0).when(group < 9, 1).when(group < 12, 2).when(group < 14, 3)
+    labeled = {"right": planted.withColumn("label", F.coalesce(place, F.lit(4))), "joined": planted.withColumn("label", F.coalesce(place, F.lit(3)))}
+    scores = evaluate.evaluate_all(labeled)
+    return rounded(scores.select("model", "davies_bouldin"))
+
+
 @query
 def ev1_silhouette(spark, folder):
     labeled = _rule_labeled(_scaled(spark, folder), "label")

@@ -103,12 +103,13 @@ RULES = [
 ]
 
 
-def business_rules(tables: Tables) -> DataFrame:
-    """(position, rule, invalid_count), one scan per table."""
-    require(tables, *{table for _, table, _ in RULES})
+def business_rules(tables: Tables, positions: list[int] | None = None) -> DataFrame:
+    """(position, rule, invalid_count), one scan per table; only the rules at ``positions``, if given."""
+    chosen = [(i, *rule) for i, rule in enumerate(RULES) if positions is None or i in positions]
+    require(tables, *{table for _, _, table, _ in chosen})
     frames = []
-    for table in dict.fromkeys(t for _, t, _ in RULES):
-        rules = [(i, rule, bad) for i, (rule, t, bad) in enumerate(RULES) if t == table]
+    for table in dict.fromkeys(t for _, _, t, _ in chosen):
+        rules = [(i, rule, bad) for i, rule, t, bad in chosen if t == table]
         counted = tables[table].agg(*[F.count_if(bad()).alias(f"r{i}") for i, _, bad in rules])
         entries = [
             F.struct(F.lit(i).alias("position"), F.lit(rule).alias("rule"), F.col(f"r{i}").alias("invalid_count"))

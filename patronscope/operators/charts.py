@@ -10,10 +10,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from patronscope.functions.columns import clip, floor_days, union_all
+from patronscope.functions.columns import clip, union_all
 from patronscope.functions.quantiles import exact_quantiles
 from patronscope.functions.sampling import fixed_sample
 from patronscope.operators import joins
+from patronscope.operators.clean import delivery_days
 from patronscope.schema import NUMERIC_FEATURES
 from patronscope.sources.catalog import Tables
 
@@ -130,6 +131,12 @@ def top_categories(tables: Tables, size: int = TOP) -> DataFrame:
     return ranked(category_counts(tables), name).limit(size)
 
 
+def top_category_items(tables: Tables) -> DataFrame:
+    """Items of the categories with most items."""
+    name = "product_category_name_english"
+    return joins.items_with_categories(tables).join(top_categories(tables).select(name), name, "left_semi")
+
+
 def payment_types(tables: Tables) -> DataFrame:
     shares = with_share(value_counts(tables["order_payments"], "payment_type"), 100.0)
     return ranked(shares, "payment_type")
@@ -150,8 +157,7 @@ def price_freight_sample(tables: Tables, size: int = SCATTER_ROWS, seed: int = S
 
 def delivery_histogram(tables: Tables) -> DataFrame:
     """Whole days from purchase to delivery, 0 to 60."""
-    days = floor_days(F.col("order_purchase_timestamp"), F.col("order_delivered_customer_date"))
-    return histogram(tables["orders"].select(days.alias("days")).where("days between 0 and 60"), "days")
+    return histogram(delivery_days(tables["orders"]), "days")
 
 
 def top_sellers(tables: Tables) -> DataFrame:

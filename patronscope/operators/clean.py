@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from patronscope import schema
-from patronscope.functions.columns import null_if_in, strip, union_all
+from patronscope.functions.columns import floor_days, null_if_in, strip, union_all
 from patronscope.operators import audit
 from patronscope.sources import sinks
 from patronscope.sources.catalog import Tables, require
@@ -182,6 +182,24 @@ def fix_types(tables: Tables, types: dict[tuple[str, str], ColumnType] | None =
     return out
 
 
+# --- rows and names by column -----------------------------------------------------------
+
+
+def delivered_orders(orders: DataFrame) -> DataFrame:
+    """Orders with a delivery date."""
+    return orders.dropna(subset=["order_delivered_customer_date"])
+
+
+def delivery_days(orders: DataFrame, longest: int = 60) -> DataFrame:
+    """(order_id, days): whole days from purchase to delivery, 0 to ``longest``."""
+    days = floor_days(F.col("order_purchase_timestamp"), F.col("order_delivered_customer_date"))
+    return orders.select("order_id", days.alias("days")).where(F.col("days").between(0, longest))
+
+
+def product_categories(products: DataFrame) -> DataFrame:
+    return products.select("product_id", F.col("product_category_name").alias("category"))
+
+
 # --- the whole step ---------------------------------------------------------------------
 
 

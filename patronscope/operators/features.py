@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from patronscope.functions.columns import floor_days, from_money, money, most_common, ratio, union_all
 from patronscope.operators import joins
 from patronscope.schema import FEATURE_COLUMNS, RETURN_STATES
+from patronscope.session import settle
 from patronscope.sources.catalog import Tables, require
 
 WHO = "customer_unique_id"
@@ -62,8 +63,8 @@ def order_totals(flat: DataFrame) -> DataFrame:
     )
 
 
-def rfm(flat: DataFrame, snapshot: datetime | None = None) -> DataFrame:
-    """Recency, frequency, monetary value and average order value."""
+def rfm(flat: DataFrame, snapshot: datetime | None = None, dated: DataFrame | None = None) -> DataFrame:
+    """Recency, frequency, monetary value and average order value. ``dated``: the orders, if they are at hand without their items."""
     # Orders are counted at order grain first, so a customer with very many items is
     # reduced before the second shuffle.
     orders = flat.dropna(subset=["order_id", WHO, PURCHASED]).groupBy(WHO, "order_id").agg(
@@ -80,7 +81,7 @@ def rfm(flat: DataFrame, snapshot: datetime | None = None) -> DataFrame:
     monetary = from_money(F.col("units"))
     return customers.select(
         WHO,
-        floor_days(F.col("last_ts"), snapshot_column(flat, snapshot)).alias("recency"),
+        floor_days(F.col("last_ts"), snapshot_column(flat if dated is None else dated, snapshot)).alias("recency"),
         "frequency",
         monetary.alias("monetary"),
         (monetary / F.col("frequency")).alias("avg_order_value"),
@@ -157,15 +158,26 @@ def tenure(flat: DataFrame) -> DataFrame:
 
 
 def features_from_flat(tables: Tables, snapshot: datetime | None = None) -> DataFrame:
-    """The feature table by joining the single features; works for repeated order ids."""
-    flat = joins.flat_table(tables)
-    payments = joins.payments_with_customers(tables)
-    reviews = joins.reviews_with_customers(tables)
-    out = rfm(flat, snapshot)
+    """The feature table by joining the single features; works for repeated order ids.
+
+    Each feature reads the smallest join that has its columns, and each join is written once for all that read it.
+    """
+    orders = settle(joins.orders_with_customers(tables).select(
+        "order_id", WHO, "order_status", PURCHASED, DELIVERED, ESTIMATED, "customer_state", "customer_city"
+    ), "orders")
+    items = settle(
+        orders.drop("order_status", "customer_state", "customer_city")
+        .join(tables["order_items"].select("order_id", "product_id", "price", "freight_value"), "order_id", "left"), "items",
+    )
+    kinds = settle(items.select(WHO, "product_id").join(joins.product_names(tables), "product_id", "left").select(WHO, CATEGORY), "kinds")
+    customers = orders.select("order_id", WHO).distinct()
+    payments = settle(tables["order_payments"].select("order_id", "payment_type", "payment_installments").join(customers, "order_id", "left"), "payments")
+    reviews = tables["order_reviews"].select("order_id", "review_score").join(customers, "order_id", "left")
+    out = rfm(items, snapshot, orders)
     for part in (
-        preferred_category(flat), area(flat), return_rate(flat).select(WHO, "return_rate"),
+        preferred_category(kinds), area(orders), return_rate(orders).select(WHO, "return_rate"),
         preferred_channel(payments), avg_installments(payments), avg_review_score(reviews),
-        delivery(flat), freight_ratio(flat), category_diversity(flat), tenure(flat),
+        delivery(items), freight_ratio(items), category_diversity(kinds), tenure(orders),
     ):
         out = out.join(part, WHO, "left")
     return out.select(*FEATURE_COLUMNS)

@@ -18,9 +18,14 @@ def quoted(df: DataFrame, name: str):
     return df[f"`{name}`"]
 
 
-def column_list(spark: SparkSession, tables: Tables) -> DataFrame:
-    rows = [(n, i, c) for n, df in tables.items() for i, c in enumerate(df.columns)]
-    return spark.createDataFrame(rows, "dataset string, position int, column string")
+def column_list(tables: Tables) -> DataFrame:
+    """(dataset, position, column, rows) of every column, with the rows of its table."""
+    frames = []
+    for name, df in tables.items():
+        listed = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(c).alias("column")) for i, c in enumerate(df.columns)])
+        counted = df.agg(F.count(F.lit(1)).alias("rows"))
+        frames.append(counted.select(F.lit(name).alias("dataset"), F.inline(listed), "rows"))
+    return union_all(frames)
 
 
 def shapes(tables: Tables) -> DataFrame:

@@ -27,13 +27,30 @@ def product_names(tables: Tables) -> DataFrame:
     )
 
 
+def orders_with_items(tables: Tables) -> DataFrame:
+    """One row per order item; orders without items stay."""
+    require(tables, "orders", "order_items")
+    return tables["orders"].join(tables["order_items"], "order_id", "left")
+
+
+def items_with_products(tables: Tables) -> DataFrame:
+    require(tables, "order_items", "products")
+    return tables["order_items"].join(tables["products"], "product_id", "left")
+
+
+def flat_items(tables: Tables) -> DataFrame:
+    """One row per order item with order and customer; orders without items stay. The flat table without
+    products, for all that reads none of their columns; ``product_id`` is the key of the products."""
+    require(tables, "orders", "customers", "order_items")
+    return orders_with_customers(tables).join(tables["order_items"], "order_id", "left")
+
+
 def flat_table(tables: Tables) -> DataFrame:
     """One row per order item with order, customer, product and English category; orders
     without items stay."""
-    require(tables, "orders", "customers", "order_items", "products", "category_name_translation")
+    require(tables, "products", "category_name_translation")
     return (
-        orders_with_customers(tables)
-        .join(tables["order_items"], "order_id", "left")
+        flat_items(tables)
         .join(tables["products"], "product_id", "left")
         .join(tables["category_name_translation"], "product_category_name", "left")
     )

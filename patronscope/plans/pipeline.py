@@ -141,7 +141,7 @@ def run(
     told = manifest.run("findings", {}, [named.signature], findings, "segments/{}".format)
     return RunResult(
         tables=tables,
-        columns=column_list(spark, tables),
+        columns=column_list(tables),
         audits={n.removeprefix("metrics/"): df for n, df in first.tables.items() if n.startswith("metrics/")},
         features=features_,
         segments=assigned.tables["customer_segments"],

@@ -55,14 +55,6 @@ DOUBLE_COLUMNS = {
     ],
 }
 
-CATEGORY_COLUMNS = {
-    "customers": ["customer_city", "customer_state"],
-    "orders": ["order_status"],
-    "order_payments": ["payment_type"],
-    "products": ["product_category_name"],
-    "sellers": ["seller_city", "seller_state"],
-}
-
 # Tokens counted as hidden nulls before trimming.
 HIDDEN_NULL_TOKENS = ["NA", "N/A", "Null", "null", "-", ""]
 
