@@ -27,7 +27,7 @@ from patronscope.llm.common import packed_rows, schema_with, worker_cache
 #: The split of the byte-level vocabulary, a fixed value of its format.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Characters outside these ranges may be classed differently by other versions of Unicode;
-#: a text with one goes to the library as a whole.
+#: a text with one is split by the library's own splitter, and its pieces are looked up like others.
 UNSURE = "[^\\x00-ɏͰ-ͳΑ-ΡΣ-ϿЀ-ҁ‐-‧‰-⁞₠-€一-龥]"
 
 TABLE_SIZE = 32_768
@@ -120,11 +120,14 @@ def token_counts(
 
         lookup = Tiers(table).__getitem__
 
+        def split(part: str) -> list[str]:
+            if unsure.search(part):
+                return [part[low:high] for _, (low, high) in own.pre_tokenizer.pre_tokenize_str(part)]
+            return pieces.findall(part)
+
         def tokens(value: str) -> int:
-            if unsure.search(value):
-                return len(own.encode(value, add_special_tokens=False).ids)
             parts = cut.split(value) if cut else [value]
-            return sum(sum(map(lookup, pieces.findall(part))) for part in parts) + len(parts) - 1
+            return sum(sum(map(lookup, split(part))) for part in parts) + len(parts) - 1
 
         for batch in batches:
             data = batch.column("data").to_pylist()

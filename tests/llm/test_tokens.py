@@ -36,6 +36,16 @@ def test_token_counts(small, odd, empty, library, table_size):
     assert token_counts(empty, JSON).count() == 0
 
 
+def test_token_counts_in_all_scripts(spark, library):
+    """Texts beyond the sure ranges take the same two tiers."""
+    words = ["مرحبا بالعالم", "안녕하세요 세계", "こんにちは 世界", "สวัสดีชาวโลก", "שלום עולם", "\U0001f600\U0001f468‍\U0001f469", "नमस्ते दुनिया", "ǅ Ⅷ ½ ²", "　 \u2028\u00a0x", "it's 12'll"]
+    chance = random.Random(3)
+    texts = [" ".join(chance.choices(words, k=chance.randint(1, 12))) + chance.choice(["", "\n\n ", "<|endoftext|>"]) for _ in range(200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r[0]: r[1] for r in token_counts(docs, JSON, table_size=20, cache_size=30).select("row.doc_id", "n_tokens").collect()}
+    assert [got[i] for i in range(200)] == [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
 def test_frequent_pieces_are_bounded(small):
     assert len(frequent_pieces(small, JSON, table_size=50)) == 50
 
