@@ -226,12 +226,13 @@ def whole_tokens(tokens: dict[int, bytes]) -> np.ndarray:
 
 
 def bpe_round_trip(
-    docs: DataFrame, ranks: bytes, pattern: str, text: str = "text", with_ids: bool = False, cache_size: int = CACHE_SIZE
+    docs: DataFrame, ranks: bytes, pattern: str, text: str = "text", with_ids: bool = False, cache_size: int = CACHE_SIZE,
+    max_states: int = MAX_STATES,
 ) -> DataFrame:
     """(row, n_tokens, ids_sha256, decoded_sha256[, ids]) for every document.
 
     ``ranks`` is the content of the rank file. ``ids`` are little-endian unsigned 32-bit integers.
-    Pieces of at most ``CACHED_PIECE`` characters are remembered per worker, at most ``cache_size``.
+    Pieces of at most ``CACHED_PIECE`` characters are remembered per worker, at most ``cache_size``, and at most ``max_states`` states.
     """
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
     rows = packed_rows(docs, text)
@@ -242,9 +243,9 @@ def bpe_round_trip(
         import regex
 
         home = worker_cache("bpe")
-        key = len(shared.value), hash(shared.value)
+        key = len(shared.value), hash(shared.value), max_states
         if key not in home:
-            own = Transducer(read_ranks(shared.value))
+            own = Transducer(read_ranks(shared.value), max_states)
             home[key] = own, {}, {}, whole_tokens(own.tokens)
         own, memo, arcs, whole = home[key]
         pieces = regex.compile(pattern)
