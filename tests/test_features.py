@@ -116,6 +116,13 @@ def test_random_shops_agree(spark):
             assert v == pytest.approx(b[who][c]) if isinstance(v, float) else v == b[who][c], (who, c)
 
 
+def test_values_are_hashed_as_plain_numbers(shop):
+    """Texts of an order in the rows of its values would be shuffled once for each, and make Spark sort them."""
+    plan = features.customer_features(shop)._jdf.queryExecution().sparkPlan().toString()
+    steps = [s for s in plan.splitlines() if "Aggregate(" in s and all(k in s.split("functions=")[0] for k in ("kind#", "customer_unique_id#"))]
+    assert steps and all("HashAggregate(" in s and "customer_city" not in s for s in steps)
+
+
 def test_repeated_order_ids_use_the_flat_plan(spark, shop):
     twice = {**shop, "orders": shop["orders"].unionByName(shop["orders"].where("order_id = 'o4'"))}
     got = rows(pipeline.build_features(twice))
