@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from patronscope.session import settle
+
 DIGIT_BITS = 16
 _DIGITS = 1 << DIGIT_BITS
 _LEVELS = 64 // DIGIT_BITS
@@ -60,6 +62,35 @@ def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]]) -> dict[str,
     return result
 
 
+def sorted_quantiles(df: DataFrame, wanted: dict[str, list[float]]) -> dict[str, list[float | None]]:
+    """The same by sorting, with no task that holds all values: equal values are counted, the counts dealt over ranges of
+    values, and the sizes of the ranges before are added to the running sum in a range."""
+    result: dict[str, list[float | None]] = {}
+    for c, ps in wanted.items():
+        counted = df.select(F.col(c).cast("double").alias("value")).where(F.col("value").isNotNull())
+        counted = counted.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+        ranged = settle(counted.repartitionByRange("value").withColumn("part", F.spark_partition_id()), "ranged")
+        before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+        sizes = ranged.groupBy("part").agg(F.sum("n").alias("held"))
+        offsets = sizes.select("part", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("skip"))
+        total = ranged.agg(F.sum("n")).first()[0] or 0
+        positions = [(total - 1) * p for p in ps]
+        ranks = sorted({r for at in positions for r in (math.floor(at), math.ceil(at))}) if total else []
+        upto = F.sum("n").over(Window.partitionBy("part").orderBy("value")) + F.col("skip")
+        placed = ranged.join(offsets, "part").select("value", (upto - F.col("n")).alias("low"), upto.alias("upto"))
+        hit = F.exists(F.array(*[F.lit(r).cast("long") for r in ranks]), lambda r: (r >= F.col("low")) & (r < F.col("upto")))
+        rows = placed.where(hit).collect() if ranks else []  # two rows a quantile at most
+        value = {r: row["value"] for r in ranks for row in rows if row["low"] <= r < row["upto"]}
+        result[c] = [_between(value, at) if total else None for at in positions]
+    return result
+
+
+def _between(value: dict[int, float], position: float) -> float:
+    k, k2 = math.floor(position), math.ceil(position)
+    same = k == k2 or value[k] == value[k2]
+    return value[k] if same else (k2 - position) * value[k] + (position - k) * value[k2]
+
+
 def _next_digit(values: DataFrame, pending: list[_Search], level: int) -> None:
     """Count by the digit of ``level`` and take it over into the searches."""
     slots = sorted({(s.column, s.prefix) for s in pending})

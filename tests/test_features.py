@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import adapter
-from patronscope.functions.quantiles import exact_quantiles
+from patronscope.functions.quantiles import exact_quantiles, sorted_quantiles
 from patronscope.functions.sampling import fixed_sample
 from patronscope.operators import charts, features, joins
 from patronscope.plans import pipeline
@@ -204,6 +204,17 @@ def test_quantiles_of_odd_values(spark):
     assert exact_quantiles(close, {"v": [0.0, 0.5, 1.0]})["v"] == [near[0], (near[149] + near[150]) / 2, near[-1]]
 
 
+def test_quantiles_by_sorting(spark):
+    values = [None, float("nan"), -0.0, 0.0, 3.5, 3.5, 3.5, -7.0, 1e300, float("-inf"), 2.0]
+    df = spark.createDataFrame([(v, None) for v in values * 3], "x double, y double")
+    ps = [0.0, 0.1, 0.25, 0.5, 0.77, 0.9]
+    wanted = {"x": ps, "y": [0.5]}
+    direct = df.agg(F.percentile("x", F.array(*map(F.lit, ps))).alias("x")).first()["x"]
+    got = sorted_quantiles(df, wanted)
+    assert got["y"] == [None] and np.array_equal(got["x"], direct, equal_nan=True)
+    assert np.array_equal(got["x"], exact_quantiles(df, wanted)["x"], equal_nan=True)
+
+
 def test_plan_reads_only_needed_columns(spark):
     t = adapter.tables(spark, "/root/testdata/sf0.001")
     plan = features.customer_features(t)._jdf.queryExecution().executedPlan().toString()
