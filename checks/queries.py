@@ -121,9 +121,9 @@ def io1_quoted_csv(spark, folder):
     text = F.when(F.col("review_id") % 3 == 0, F.concat(F.lit('a "quoted"\nline, '), F.col("review_comment_message"), F.lit('\n\n"end"')))
     table = reviews.select("review_id", "order_id", text.alias("review_comment_message"), "review_score")
     path = sinks.write_table(table.coalesce(1), scratch_path(spark, "quoted"), "csv")
-    size, short = "spark.sql.files.maxPartitionBytes", "4k"
+    size, short = "spark.sql.files.maxPartitionBytes", max(4096, sinks.bytes_at(spark, path) // 1_000)
     before = spark.conf.get(size)
-    spark.conf.set(size, short)  # many blocks also for a small file
+    spark.conf.set(size, str(short))  # many blocks also for a small file; every task reports to the driver, so not more for a large one
     try:
         back = settle(catalog.read_csv(spark, [path], multiline=True))
     finally:

@@ -26,6 +26,12 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     return reader.format(fmt).load(path)
 
 
+def bytes_at(spark: SparkSession, path: str) -> int:
+    """Size of a written table."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+
+
 def write_tables(tables: dict[str, DataFrame], folder: str, suffix: str = "", fmt: str = "parquet") -> dict[str, str]:
     return {
         name: write_table(df, f"{folder.rstrip('/')}/{name}{suffix}", fmt)
