@@ -4,6 +4,7 @@ import os
 
 import pytest
 
+from checks import queries
 from patronscope.functions import columns as fx
 from patronscope.operators import audit, clean, inspect
 from patronscope.sources import catalog, csv_blocks, sinks
@@ -48,6 +49,15 @@ def test_strip_keeps_empty_text(spark):
     assert got == ["x", "", None, None, None, "n/a"]
 
 
+def test_strip_is_no_pattern(spark):
+    """All white space of Unicode goes at both ends, as by the pattern, and nothing else."""
+    inner = [chr(c) for c in (*range(0x1, 0x21), 0x85, 0xA0, 0x180E, 0x1680, *range(0x1FFE, 0x2010), *range(0x2027, 0x2030), 0x205F, 0x2060, 0x3000, 0xFEFF)]
+    texts = [f"{c}{d}a {c} b{d}{c}" for c in inner for d in ("", "\n", " ")] + ["", " \t\n", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", fx.strip(F.col("t")).alias("got"))
+    assert "regexp_replace" not in df._jdf.queryExecution().analyzed().toString()
+    assert df.where(~F.col("got").eqNullSafe(F.regexp_replace("t", r"(?U)^\s+|\s+$", ""))).count() == 0
+
+
 def test_labels_and_log(spark):
     df = spark.createDataFrame([("online", "y"), ("phone", "no"), (None, "yes")], "channel string, returned string")
     out = clean.standardize_labels({"t": df, "u": spark.range(1)})
@@ -221,3 +231,12 @@ def test_number_text_rounds_like_exact_binary_values(spark):
     df = spark.createDataFrame([(v,) for v in values], "v double")
     got = df.select(fx.fixed_decimal_text(F.col("v")), fx.whole_text(F.col("v"))).collect()
     assert [tuple(r) for r in got] == [(f"{v:.1f}", f"{v:.0f}") for v in values]
+
+
+def test_quoted_csv_query_has_bounded_blocks(spark, monkeypatch):
+    """Blocks grow with the file beyond a thousand of them, as each has tasks that report to the driver."""
+    used = []
+    monkeypatch.setattr(sinks, "bytes_at", lambda spark, path: 50_000_000)
+    monkeypatch.setattr(catalog, "read_csv", lambda s, paths, multiline: used.append(s.conf.get("spark.sql.files.maxPartitionBytes")) or s.read.option("header", True).csv(paths))
+    queries.QUERIES["io1_quoted_csv"](spark, "/root/testdata/sf0.001")
+    assert used == ["50000"]
