@@ -1,7 +1,7 @@
 """Byte-level BPE as a lazily determinised transducer, and a streaming decoder.
 
 Encoding. The pieces of a text are read byte by byte. A state of the nondeterministic machine is
-a part of a token read so far together with the tokens before it; a token may follow another
+a part of a token read so far, a node in the tree of all tokens, together with the tokens before it; a token may follow another
 if the two encode to themselves when joined. The deterministic state is the set of all such
 readings with their pending tokens; what all readings agree on is emitted, so a token leaves
 after a lookahead of at most the longest token. States and arcs are made when first needed.
@@ -17,8 +17,11 @@ cannot complete them or the stream ends.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
+import struct
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -53,16 +56,31 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int], max_states: int = MAX_STATES):
         self.ranks, self.max_states = ranks, max_states
         self.tokens = {r: t for t, r in ranks.items()}
-        self.bytes = [bytes((b,)) for b in range(256)]
-        self.longer = {p: p for t in ranks for p in (t[:n] for n in range(1, len(t)))}  # so that states share them
+        #: the tree of the tokens: 256 * node + byte -> node; by node, the token that ends there and whether longer ones go on
+        self.nodes: dict[int, int] = {}
+        self.token_at, self.goes_on = [-1], [True]
+        for data, token in ranks.items():
+            self._plant(data, token)
         self.follows: dict[tuple[int, int], bool] = {}
         self.whole: dict[int, bool] = {}
         self.halves: dict[int, tuple[int, int] | None] = {}
         self._reset()
 
+    def _plant(self, data: bytes, token: int) -> None:
+        node, nodes = 0, self.nodes
+        for byte in data:
+            self.goes_on[node] = True
+            key = node << 8 | byte
+            node = nodes.get(key)
+            if node is None:
+                node = nodes[key] = len(self.token_at)
+                self.token_at.append(-1)
+                self.goes_on.append(False)
+        self.token_at[node] = token
+
     def _reset(self) -> None:
-        #: number -> readings; readings are (pending tokens, last token, part read)
-        start = (((), -1, b""),)
+        #: number -> readings; readings are (pending tokens, last token, node of the part read)
+        start = (((), -1, 0),)
         self.states, self.numbers = [start], {start: 0}
         self.arcs: list[dict[int, tuple[tuple, int]]] = [{}]
         self.ends: list[tuple | None] = [()]
@@ -107,17 +125,17 @@ class Transducer:
                 return True
 
     def _arc(self, state: int, byte: int) -> tuple[tuple, int]:
-        readings, ranks, longer, end = [], self.ranks, self.longer, None
-        one = self.bytes[byte]
-        for pending, last, part in self.states[state]:
-            part += one
-            begun = longer.get(part)
-            if begun is not None:
-                readings.append((pending, last, begun))
-            token = ranks.get(part)
-            if token is not None and end is None and self._may_follow(last, token):
+        readings, nodes, goes_on, token_at, end = [], self.nodes, self.goes_on, self.token_at, None
+        for pending, last, node in self.states[state]:
+            node = nodes.get(node << 8 | byte)
+            if node is None:
+                continue
+            if goes_on[node]:
+                readings.append((pending, last, node))
+            token = token_at[node]
+            if token >= 0 and end is None and self._may_follow(last, token):
                 end = (*pending, token)  # the one reading in which all bytes so far are whole tokens
-                readings.append((end, token, b""))
+                readings.append((end, token, 0))
         if end is None:
             raise ValueError("the ranks do not encode this text")
         agreed = 0
@@ -130,7 +148,7 @@ class Transducer:
                     break
                 agreed += 1
         out = end[:agreed]
-        to = tuple((p[agreed:], last, part) for p, last, part in readings) if agreed else tuple(readings)
+        to = tuple((p[agreed:], last, node) for p, last, node in readings) if agreed else tuple(readings)
         number = self.numbers.get(to)
         if number is None:
             number = self.numbers[to] = len(self.states)
@@ -217,6 +235,35 @@ class Decoder:
         return rest
 
 
+class Pieces(dict):
+    """Piece -> its ids as bytes, encoded when first asked for. Known pieces cost one look-up and no call."""
+
+    def __init__(self, own: Transducer, size: int):
+        super().__init__()
+        self.own, self.size = own, size
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.own.encode(piece.encode())
+        packed = struct.pack(f"<{len(ids)}I", *ids)
+        if len(piece) <= CACHED_PIECE:
+            if len(self) >= self.size:
+                self.clear()
+            self[piece] = packed
+        return packed
+
+
+@contextmanager
+def no_collection() -> Iterator[None]:
+    """Reference cycles are not looked for inside: states and pieces hold none, and the search would pass over all of them again and again."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
 def whole_tokens(tokens: dict[int, bytes]) -> np.ndarray:
     """By id, whether a token is whole characters of UTF-8."""
     out = np.zeros(max(tokens, default=-1) + 1, bool)
@@ -243,36 +290,26 @@ def bpe_round_trip(
         import regex
 
         home = worker_cache("bpe")
-        key = len(shared.value), hash(shared.value), max_states
+        key = len(shared.value), hash(shared.value), max_states, cache_size
         if key not in home:
             own = Transducer(read_ranks(shared.value), max_states)
-            home[key] = own, {}, {}, whole_tokens(own.tokens)
+            home[key] = own, Pieces(own, cache_size), {}, whole_tokens(own.tokens)
         own, memo, arcs, whole = home[key]
         pieces = regex.compile(pattern)
 
-        class Pieces(dict):
-            def __missing__(self, piece: str) -> bytes:
-                packed = memo.get(piece)
-                if packed is None:
-                    packed = np.array(own.encode(piece.encode()), "<u4").tobytes()
-                    if len(piece) <= CACHED_PIECE:
-                        if len(memo) >= cache_size:
-                            memo.clear()
-                        memo[piece] = packed
-                return packed
-
-        lookup = Pieces().__getitem__
+        lookup = memo.__getitem__
         for batch in batches:
             counts, ids_digests, text_digests, all_ids = [], [], [], []
-            for data in batch.column("data").to_pylist():
-                ids = b"".join(map(lookup, pieces.findall(data.decode())))
-                decoder = Decoder(own.tokens, arcs)
-                back = decoder.feed(np.frombuffer(ids, "<u4"), whole) + decoder.finish()
-                counts.append(len(ids) // 4)
-                ids_digests.append(hashlib.sha256(ids).hexdigest())
-                text_digests.append(hashlib.sha256(back).hexdigest())
-                if with_ids:
-                    all_ids.append(ids)
+            with no_collection():
+                for data in batch.column("data").to_pylist():
+                    ids = b"".join(map(lookup, pieces.findall(data.decode())))
+                    decoder = Decoder(own.tokens, arcs)
+                    back = decoder.feed(np.frombuffer(ids, "<u4"), whole) + decoder.finish()
+                    counts.append(len(ids) // 4)
+                    ids_digests.append(hashlib.sha256(ids).hexdigest())
+                    text_digests.append(hashlib.sha256(back).hexdigest())
+                    if with_ids:
+                        all_ids.append(ids)
             columns = [batch.column("row"), pa.array(counts, pa.int64()), pa.array(ids_digests, pa.string()), pa.array(text_digests, pa.string())]
             if with_ids:
                 columns.append(pa.array(all_ids, pa.binary()))

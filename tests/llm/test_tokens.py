@@ -105,3 +105,21 @@ def test_decoder_releases_whole_characters():
         parts = [many.feed(x, WHOLE) for x in np.split(ids, [len(ids) // 3])]
         assert b"".join(one.push(ids.tolist())) == b"".join(parts) and one.finish() == many.finish()
     assert [waiting(b) for b in (b"", b"a", b"\xc3", b"\xe0\x80", b"\xe0\xa0", b"\xf0\x9f\x98", b"\x80\x80\x80")] == [0, 0, 1, 0, 2, 3, 0]
+
+
+def test_pieces_are_encoded_once_and_without_collection():
+    import gc
+
+    from patronscope.llm.bpe import Pieces, no_collection
+
+    ranks = {bytes((b,)): b for b in range(256)} | {b"ab": 256, b"abc": 257, b"bc": 258}
+    machine, asked = Transducer(ranks), []
+    plain = machine.encode
+    machine.encode = lambda data: asked.append((data, gc.isenabled())) or plain(data)
+    pieces = Pieces(machine, 2)
+    with no_collection():
+        got = [np.frombuffer(pieces[p], "<u4").tolist() for p in ["abc", "abc", "bca", "abbc", "abc", "x" * 100]]
+    assert gc.isenabled()
+    assert got == [merge_by_rank(p.encode(), ranks) for p in ["abc", "abc", "bca", "abbc", "abc", "x" * 100]]
+    assert asked == [(p.encode(), False) for p in ["abc", "bca", "abbc", "abc", "x" * 100]]  # two pieces are kept
+    assert len(pieces) <= 2 and "x" * 100 not in pieces
