@@ -219,3 +219,24 @@ def test_plan_reads_only_needed_columns(spark):
     t = adapter.tables(spark, "/root/testdata/sf0.001")
     plan = features.customer_features(t)._jdf.queryExecution().executedPlan().toString()
     assert "review_comment" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_values_meet_their_orders_without_a_window(spark):
+    """A window over the values of an order shuffles all of them a second time and sorts them."""
+    plan = features.customer_features(adapter.tables(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan
+
+
+def test_orders_without_items_count_their_days_once(spark):
+    late = "2020-01-06 00:00:00"
+    shop = tiny(
+        spark,
+        [("o1", "ann", "delivered", "2020-01-01 00:00:00", late, "2020-01-02 00:00:00", "sp"),
+         ("o2", "ann", "delivered", "2020-01-01 00:00:00", "2020-01-03 00:00:00", "2020-01-02 00:00:00", "sp")],
+        [("o2", 0, "p1", 1.0, 1.0, "s"), ("o2", 1, "p1", 1.0, 1.0, "s"), ("o2", 2, "p9", None, 1.0, "s")],
+        [("o1", "a", 1), ("o1", "b", 3), ("o2", "a", 2)], [("o1", 4), ("o1", 5)],
+    )
+    ann = rows(features.customer_features(shop))["ann"]
+    assert (ann["frequency"], ann["monetary"]) == (2, 5.0)
+    assert ann["delivery_delay"] == pytest.approx((4 + 3 * 1) / 4) and ann["avg_delivery_time"] == pytest.approx((5 + 3 * 2) / 4)
+    assert (ann["avg_installments"], ann["avg_review_score"], ann["preferred_channel"]) == (2.0, 4.5, "a")
