@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import pandas as pd
@@ -240,3 +241,40 @@ def test_orders_without_items_count_their_days_once(spark):
     assert (ann["frequency"], ann["monetary"]) == (2, 5.0)
     assert ann["delivery_delay"] == pytest.approx((4 + 3 * 1) / 4) and ann["avg_delivery_time"] == pytest.approx((5 + 3 * 2) / 4)
     assert (ann["avg_installments"], ann["avg_review_score"], ann["preferred_channel"]) == (2.0, 4.5, "a")
+
+
+def test_values_travel_as_numbers_and_are_only_counted(shop):
+    """Texts and sums in the rows that are shuffled per value were most of the MB that the table moved."""
+    plan = features.customer_features(shop)._jdf.queryExecution().sparkPlan().toString()
+    steps = [s for s in plan.splitlines() if "Aggregate(" in s and re.search(r"keys=\[customer_unique_id#\d+, kind#\d+, value#\d+", s)]
+    assert steps
+    for s in steps:
+        assert re.search(r"value#\d+L", s) and re.search(r"functions=\[(partial_)?count\(1\)\]", s), s
+
+
+def test_sums_have_one_row_per_order(shop):
+    got = [df.orderBy("order_id").collect() for df in features.order_sums(shop)]
+    assert [tuple(r) for r in got[0]] == [
+        ("o1", 3, 185_000, 0.1, 1), ("o3", 1, 1_010_000, 0.01, 1), ("o6", 1, 20_000, 1.0, 1),
+    ]
+    assert [tuple(r) for r in got[1]] == [("o1", 3.0, 2), ("o2", 4.0, 1), ("o4", 3.0, 1), ("zz", 9.0, 1)]
+    assert [tuple(r) for r in got[2]] == [("o1", 5.0, 1), ("o3", 2.0, 1), ("zz", 1.0, 1)]
+
+
+def test_numbers_of_values_keep_the_order_of_their_texts(spark, shop):
+    names = [f"n{i:03d}" for i in range(300)] + [None, "Z", "é", ""]
+    random.Random(1).shuffle(names)
+    payments = spark.createDataFrame([("o1", n) for n in names * 2], "order_id string, payment_type string").repartition(5)
+    got = features.value_ids({**shop, "order_payments": payments}).orderBy("id").collect()
+    assert [r.text for r in got] == sorted({*names, "ex", "ey"} - {None}, key=lambda t: t.encode())
+    assert len({r.id for r in got}) == len(got)
+
+
+def test_repeated_products_count_as_their_join_does(spark, shop):
+    """A product listed twice doubles its items, in sums and in counts; without a category it has no say in the favorite."""
+    more = spark.createDataFrame([("p1", "y"), ("p1", None), ("p3", None)], "product_id string, product_category_name string")
+    twice = {**shop, "products": shop["products"].unionByName(more)}
+    ann = rows(features.customer_features(twice))["ann"]
+    assert ann["monetary"] == pytest.approx(11.0 + 3 * 2.0 + 2 * 5.5)
+    assert (ann["preferred_category"], ann["category_diversity"]) == ("ey", 2)  # ey 1 + 2, ex 2
+    assert ann["avg_freight_ratio"] == pytest.approx((0.1 + 3 * 0.01) / 4)
