@@ -240,3 +240,18 @@ def test_quoted_csv_query_has_bounded_blocks(spark, monkeypatch):
     monkeypatch.setattr(catalog, "read_csv", lambda s, paths, multiline: used.append(s.conf.get("spark.sql.files.maxPartitionBytes")) or s.read.option("header", True).csv(paths))
     queries.QUERIES["io1_quoted_csv"](spark, "/root/testdata/sf0.001")
     assert used == ["50000"]
+
+
+def test_duplicates_move_digests_only(spark, folder):
+    """Whole rows are not shuffled to find out how few digests repeat."""
+    df = spark.range(4_000).select(F.col("id"), F.expr("repeat(md5(cast(id as string)), 20)").alias("text"))
+    path = sinks.write_table(df.union(df.where("id in (5, 9)")), f"{folder}/rows")
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "50000")
+    try:
+        found = audit._repeated_rows(spark.read.parquet(path))
+        assert "SortMergeJoin" not in found._jdf.queryExecution().executedPlan().toString()
+        assert found.first()["n"] == 2
+    finally:
+        spark.conf.set(limit, before)
